@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{N}_]"
@@ -105,30 +105,32 @@ STEPS: tuple[tuple[Callable[[Column], Column], tuple[str, ...]], ...] = (
 )
 
 
-def clean_description(text: Column) -> Column:
-    """Embedding-ready text; null and blank input give an empty string."""
-    for step, _ in STEPS:
-        text = step(text)
-    return F.coalesce(strip(text), F.lit(""))
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` reads it.
 
+    The value stays a single node of the expression tree, so a filter that Catalyst
+    pushes below a projection copies a chain of such steps once and not exponentially.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def with_clean_text(df: DataFrame, source: str, into: str) -> DataFrame:
-    """Add ``clean_description(source)`` as ``into``, one projection per step.
 
-    Each step reads the previous one several times, so Catalyst keeps the projections
-    apart and every step runs once; they still compile into one stage.
-    """
-    df = df.withColumn(into, F.col(source))
+def guarded(text: Column, step: Callable[[Column], Column], marks: tuple[str, ...]) -> Column:
+    """Run the step only on texts that hold one of the marks."""
+
+    def use(value: Column) -> Column:
+        needed = F.contains(value, F.lit(marks[0]))
+        for mark in marks[1:]:
+            needed = needed | F.contains(value, F.lit(mark))
+        return F.when(needed, step(value)).otherwise(value)
+
+    return bind(text, use)
+
+
+def clean_description(text: Column) -> Column:
+    """Embedding-ready text; null and blank input give an empty string."""
     for step, marks in STEPS:
-        text = F.col(into)
-        done = step(text)
-        if marks:
-            needed = F.contains(text, F.lit(marks[0]))
-            for mark in marks[1:]:
-                needed = needed | F.contains(text, F.lit(mark))
-            done = F.when(needed, done).otherwise(text)
-        df = df.withColumn(into, done)
-    return df.withColumn(into, F.coalesce(strip(F.col(into)), F.lit("")))
+        text = guarded(text, step, marks) if marks else step(text)
+    return F.coalesce(strip(text), F.lit(""))
 
 
 def word_count(text: Column) -> Column:

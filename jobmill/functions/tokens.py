@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from jobmill.functions.text import bind
 from jobmill.lookups import stop_words
 
 MIN_TOKENS = 5
@@ -26,10 +27,13 @@ def without_stop_words(
     """
     lists = words or {lang: stop_words(lang) for lang in ("es", "en", "otro")}
 
-    def kept(lang: str) -> Column:
-        return F.filter(tokens, lambda w: ~w.isin(*lists[lang]))
+    def by_language(all_tokens: Column) -> Column:
+        def kept(lang: str) -> Column:
+            return F.filter(all_tokens, lambda w: ~w.isin(*lists[lang]))
 
-    return F.when(language == "es", kept("es")).when(language == "en", kept("en")).otherwise(kept("otro"))
+        return F.when(language == "es", kept("es")).when(language == "en", kept("en")).otherwise(kept("otro"))
+
+    return bind(tokens, by_language)
 
 
 def without_short_or_numeric(tokens: Column) -> Column:
@@ -46,9 +50,10 @@ def joined(tokens: Column) -> Column:
 
 def ngrams(tokens: Column, low: int, high: int) -> Column:
     """All runs of ``low`` to ``high`` neighbouring tokens, each joined by blanks."""
-    sizes = []
-    for n in range(low, high + 1):
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-        runs = F.transform(starts, lambda i, n=n: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
-        sizes.append(F.coalesce(runs, F.array().cast("array<string>")))
-    return F.concat(*sizes)
+
+    def runs(size: int) -> Column:
+        starts = F.when(F.size(tokens) >= size, F.sequence(F.lit(1), F.size(tokens) - (size - 1)))
+        found = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(size)), " "))
+        return F.coalesce(found, F.array().cast("array<string>"))
+
+    return tokens if (low, high) == (1, 1) else F.concat(*[runs(size) for size in range(low, high + 1)])

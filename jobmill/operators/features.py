@@ -14,7 +14,8 @@ SEED = 42
 
 
 def _terms(df: DataFrame, row_id: str, tokens: str, low: int, high: int) -> DataFrame:
-    return df.select(row_id, F.explode(ngrams(F.col(tokens), low, high)).alias("term"))
+    terms = F.explode_outer(ngrams(F.col(tokens), low, high)).alias("term")
+    return df.select(row_id, terms).where("term IS NOT NULL")
 
 
 def term_counts(df: DataFrame, row_id: str, tokens: str, low: int = 1, high: int = 1) -> DataFrame:

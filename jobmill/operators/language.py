@@ -42,10 +42,10 @@ def profile(labelled: DataFrame, text: str, label: str, languages: Sequence[str]
     """
     letters = F.regexp_replace(F.lower(F.col(text)), F.lit(f"[^{LETTERS}]+"), F.lit(" "))
     words = labelled.where(F.col(label).isin(*languages)).select(
-        label, F.explode(F.split(F.trim(letters), " ")).alias("_word")
+        label, F.explode_outer(F.split(F.trim(letters), " ")).alias("_word")
     )
     counted = words.where("_word <> ''").groupBy(label, "_word").agg(F.count(F.lit(1)).alias("_n"))
-    grams = counted.select(label, "_n", F.explode(trigrams(F.col("_word"))).alias("gram"))
+    grams = counted.select(label, "_n", F.explode_outer(trigrams(F.col("_word"))).alias("gram"))
     return grams.groupBy("gram").agg(
         *[
             F.coalesce(F.sum(F.when(F.col(label) == code, F.col("_n"))), F.lit(0)).alias(f"n_{code}")

@@ -41,9 +41,10 @@ def lemmatize(
     table = lemma_table(lemmas).withColumnsRenamed({"lang": "_lang", "token": "_token", "lemma": "_lemma"})
     if lemma_rows is not None and lemma_rows <= MAX_BROADCAST_LEMMAS:
         table = F.broadcast(table)
+    # The outer form keeps Catalyst from adding a filter that would tokenise twice.
     words = df.select(
-        row_id, lemma_language(F.col(language)).alias("_lang"), F.posexplode(tokens).alias("_pos", "_token")
-    )
+        row_id, lemma_language(F.col(language)).alias("_lang"), F.posexplode_outer(tokens).alias("_pos", "_token")
+    ).where("_token IS NOT NULL")
     looked_up = words.join(table, ["_lang", "_token"], "left").select(
         row_id, "_pos", F.coalesce("_lemma", "_token").alias("_word")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jobmill import schema as S
 from jobmill.functions.location import parse_location
 from jobmill.functions.postings import any_salary, title_with_text
-from jobmill.functions.text import is_unusable, with_clean_text, word_count
+from jobmill.functions.text import clean_description, is_unusable, word_count
 from jobmill.operators.language import LanguageModel, detect
 from jobmill.operators.nlp import add_nlp_columns
 
@@ -16,8 +16,7 @@ from jobmill.operators.nlp import add_nlp_columns
 def add_clean_columns(jobs: DataFrame) -> DataFrame:
     """Location parts, salary flag and cleaned text: a map-only chain."""
     return (
-        with_clean_text(jobs, "description", "descripcion_limpia")
-        .withColumn("_place", parse_location(F.col("raw_location")))
+        jobs.withColumn("_place", parse_location(F.col("raw_location")))
         .withColumns(
             {
                 "city": F.col("_place.city"),
@@ -25,6 +24,7 @@ def add_clean_columns(jobs: DataFrame) -> DataFrame:
                 "region": F.col("_place.region"),
                 "tiene_salario": any_salary(F.col("salary_min"), F.col("salary_max")),
                 "descripcion_raw": F.col("description"),
+                "descripcion_limpia": clean_description(F.col("description")),
             }
         )
         .drop("_place")

@@ -106,8 +106,8 @@ def plural_lemmas(corpus: DataFrame) -> DataFrame:
     word without it when both occur in texts of that language."""
     tokens = content_tokens(F.col("descripcion_limpia"), F.col("idioma_det"))
     words = corpus.select(
-        lemma_language(F.col("idioma_det")).alias("lang"), F.explode(tokens).alias("token")
-    ).distinct()
+        lemma_language(F.col("idioma_det")).alias("lang"), F.explode_outer(tokens).alias("token")
+    ).where("token IS NOT NULL").distinct()
     plural = words.where(F.endswith("token", F.lit("s"))).withColumn(
         "lemma", F.expr("substr(token, 1, length(token) - 1)")
     )

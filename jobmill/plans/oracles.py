@@ -207,7 +207,8 @@ def filled(x: str, fallback: str) -> str:
 def visible(x: str) -> str:
     x = sub(x, r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", "\x01")
     x = sub(x, r"(?s)</?[A-Za-z!?][^>]*>", "\x01")
-    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("nbsp", "\xa0"), ("amp", "&")):
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("nbsp", "\xa0"), ("copy", "©"),
+                       ("middot", "·"), ("amp", "&")):
         x = f"replace({x}, '&{name};', {q(char)})"
     return x
 

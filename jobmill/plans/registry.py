@@ -213,8 +213,7 @@ def distinct_terms(spark, folder):
 
 @query
 def clean_text(spark, folder):
-    rows = undated(spark, folder).select("id", "description")
-    return X.with_clean_text(rows, "description", "clean").select("id", "clean")
+    return undated(spark, folder).select("id", X.clean_description(F.col("description")).alias("clean"))
 
 
 def _one_step(step):

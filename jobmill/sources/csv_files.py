@@ -37,7 +37,7 @@ def read_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFra
     size and large in number, or keep Parquet between stages.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = spark.read.csv(path, schema=schema, multiLine=True, **CSV)
+    raw = spark.read.schema(schema).options(multiLine=True, **CSV).csv(path)
     return raw.select(*[na_to_null(F.col(c)).alias(c) for c in columns])
 
 
@@ -61,11 +61,11 @@ def flags_as_words(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    flags_as_words(df).write.mode(mode).csv(path, lineSep="\n", **CSV)
+    flags_as_words(df).write.mode(mode).options(lineSep="\n", **CSV).csv(path)
 
 
 def write_report_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One spreadsheet file with a byte-order mark. For the small report extract only."""
     first, *rest = df.columns
     marked = flags_as_words(df).withColumnRenamed(first, BOM + first)
-    marked.coalesce(1).write.mode(mode).csv(path, **CSV)
+    marked.coalesce(1).write.mode(mode).options(**CSV).csv(path)
