@@ -46,15 +46,15 @@ def tfidf_top(df: DataFrame, row_id: str, tokens: str, high: int = 3, vocabulary
     )
     # ``kept`` holds at most ``vocabulary`` rows, so it may be broadcast.
     weighted = per_text.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = weighted.groupBy(row_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    # A text keeps at most ``vocabulary`` terms: its list is bounded and gives its norm.
+    texts = weighted.groupBy(row_id).agg(
+        F.collect_list(F.struct("term", "n", "n_docs", "w")).alias("terms"),
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
+    )
     return (
-        weighted.join(norms, row_id)
-        .groupBy("term")
-        .agg(
-            F.first("n").alias("n"),
-            F.first("n_docs").alias("n_docs"),
-            F.round(F.sum(F.col("w") / F.col("norm")), 6).alias("tfidf"),
-        )
+        texts.select("norm", F.explode("terms").alias("t"))
+        .groupBy("t.term", "t.n", "t.n_docs")
+        .agg(F.round(F.sum(F.col("t.w") / F.col("norm")), 6).alias("tfidf"))
         .orderBy(F.desc("tfidf"), "term")
         .limit(k)
     )

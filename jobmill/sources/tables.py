@@ -48,8 +48,22 @@ DATES_SQL = """
 JOIN_SQL = "LEFT JOIN events e ON e.event_id = d.doc_id"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread an input of fewer splits than the session has cores.
+
+    A small file is one split and would keep one core busy with all text work. Any
+    input with enough splits is returned as it is: nothing large is ever moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
+KEYS = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(df, KEYS[name]) if name in KEYS else df
 
 
 def postings_sql(dates: bool = True) -> str:
