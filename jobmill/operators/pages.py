@@ -22,7 +22,7 @@ from jobmill.functions.salary import first_amount, parse_salary
 
 # Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-SIMPLE = re.compile(r"([.#]?)([\w\-\[\]]+?)(?=[.#]|\[\w[\w\-]*(?:=|\])|$)|\[([\w\-]+)(?:=([^\]]*))?\]")
+SIMPLE = re.compile(r"([.#]?)((?:\\.|[\w\-])+)|\[([\w\-]+)(?:=([^\]]*))?\]")
 
 
 @dataclass(frozen=True)
@@ -81,7 +81,7 @@ OCC = Profile(
     fields={
         "title": Field("h2.text-grey-900.text-lg"),
         "number": Field("", attr="data-id"),
-        "company": Field("div.col-span-10 div.h-[21px]"),
+        "company": Field(r"div.col-span-10 div.h-\[21px\]"),
         "raw_location": Field("div.no-alter-loc-text p"),
         "date_posted": Field("span.mr-2.text-sm.font-light"),
         "salary_text": Field("span.mr-2.text-grey-900.font-base.font-light"),
@@ -149,7 +149,9 @@ class Tree(HTMLParser):
 
 
 def fits(node: Node, simple: str) -> bool:
+    """Tag, ``.class``, ``#id`` and ``[attribute=value]`` tests; a backslash quotes a bracket."""
     for mark, name, attr, value in SIMPLE.findall(simple):
+        name = name.replace("\\", "")
         if attr:
             if attr not in node.attrs or (value and node.attrs[attr] != value):
                 return False
