@@ -61,6 +61,8 @@ def merge_details(listing: DataFrame, details: DataFrame, row_id: str) -> DataFr
 def apply_updates(jobs: DataFrame, updates: DataFrame, now: Column) -> DataFrame:
     """Visited pending rows become NEW (text found) or ORPHANED (nothing found).
 
+    Only pending rows take part in the join; the rest of the table is passed on
+    without a shuffle.
     ``updates`` has one row per visited link: ``job_url, description, salary_raw``.
     """
     found = updates.select(
@@ -69,15 +71,12 @@ def apply_updates(jobs: DataFrame, updates: DataFrame, now: Column) -> DataFrame
         F.col("description").alias("_text"),
         F.when(F.col("salary_raw") != "", parse_salary(F.col("salary_raw"))).alias("_pay"),
     )
-    joined = left_join_hot(jobs, found, "job_url", F.col("id"))
-    visited = (
-        F.coalesce("_visited", F.lit(False))
-        & F.col("site").isin(*SITES)
-        & (F.col("status") == S.PENDING)
-    )
+    waits = F.coalesce(F.col("site").isin(*SITES) & (F.col("status") == S.PENDING), F.lit(False))
+    joined = left_join_hot(jobs.where(waits), found, "job_url", F.col("id"))
+    visited = F.coalesce("_visited", F.lit(False))
     enriched = visited & F.col("_text").isNotNull()
     fill = enriched & F.col("salary_min").isNull() & F.col("_pay.salary_min").isNotNull()
-    return joined.select(
+    changed = joined.select(
         *[c for c in jobs.columns if c not in ("description", "salary_min", "salary_max", "status", "last_updated")],
         F.when(enriched, F.col("_text")).otherwise(F.col("description")).alias("description"),
         F.when(fill, F.col("_pay.salary_min")).otherwise(F.col("salary_min")).alias("salary_min"),
@@ -85,6 +84,7 @@ def apply_updates(jobs: DataFrame, updates: DataFrame, now: Column) -> DataFrame
         F.when(enriched, S.NEW).when(visited, S.ORPHANED).otherwise(F.col("status")).alias("status"),
         F.when(visited, now).otherwise(F.col("last_updated")).alias("last_updated"),
     )
+    return jobs.where(~waits).unionByName(changed)
 
 
 def run_totals(before: DataFrame, after: DataFrame) -> DataFrame:

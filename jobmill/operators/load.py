@@ -13,21 +13,27 @@ from pyspark.sql import functions as F
 from jobmill import schema as S
 
 
-def dedup_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """First row of every key by ``order``; rows without a key are left out.
+def first_positions(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Key and order columns of the first row of every key.
 
-    Only the key and the order columns are grouped, combined before the shuffle, so
-    copies of one key never meet as whole rows in one task. Rows then join back on
-    key and order together, which is unique per row, so a hot key cannot pile up.
+    Only these columns are grouped and they combine before the shuffle, so a key with
+    very many copies sends one row per task.
     """
     order = list(order)
     keyed = df.where(F.col(key).isNotNull())
     if len(order) == 1:
-        first = keyed.groupBy(key).agg(F.min(order[0]).alias(order[0]))
-    else:
-        first = keyed.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
-        first = first.select(F.col(key), *[F.col(f"_first.{c}").alias(c) for c in order])
-    return keyed.join(first, [key, *order], "left_semi")
+        return keyed.groupBy(key).agg(F.min(order[0]).alias(order[0]))
+    first = keyed.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
+    return first.select(F.col(key), *[F.col(f"_first.{c}").alias(c) for c in order])
+
+
+def dedup_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """First row of every key by ``order``; rows without a key are left out.
+
+    Whole rows meet their position on key and order together. That pair is unique, so
+    copies of one key spread over all tasks.
+    """
+    return df.join(first_positions(df, key, order), [key, *order], "left_semi")
 
 
 def rejects(df: DataFrame, required: Sequence[str] = S.REQUIRED) -> Column:
@@ -42,7 +48,9 @@ def rejects(df: DataFrame, required: Sequence[str] = S.REQUIRED) -> Column:
 def new_rows(stored: DataFrame, batch: DataFrame, order: Sequence[str], key: str = "job_url") -> DataFrame:
     """Rows of the batch that enter the table: first per key, key not stored yet."""
     accepted = batch.where(~rejects(batch))
-    return dedup_first(accepted, key, order).join(stored.select(key), key, "left_anti")
+    # Stored keys are taken out of the narrow positions, so whole rows move once.
+    wanted = first_positions(accepted, key, order).join(stored.select(key), key, "left_anti")
+    return accepted.join(wanted, [key, *order], "left_semi")
 
 
 def insert_new(stored: DataFrame, batch: DataFrame, order: Sequence[str], key: str = "job_url") -> DataFrame:

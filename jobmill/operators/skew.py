@@ -37,10 +37,13 @@ def left_join_hot(
     """
     hot = (hot if hot is not None else hot_keys(left, key)).withColumn("_hot", F.lit(True))
     hot = F.broadcast(hot)
-    place = F.pmod(F.xxhash64(spread), F.lit(fan_out)).cast("int")
-    salted = left.join(hot, key, "left").withColumn(
-        SALT, F.when(F.col("_hot"), place).otherwise(F.lit(0))
-    )
+
+    def place(places: int) -> Column:
+        return F.pmod(F.xxhash64(spread), F.lit(places)).cast("int")
+
+    # Rows without a key match nothing, but they would all hash to one task: spread them too.
+    salt = F.when(F.col(key).isNull(), place(1 << 20)).when(F.col("_hot"), place(fan_out)).otherwise(F.lit(0))
+    salted = left.join(hot, key, "left").withColumn(SALT, salt)
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fan_out - 1))).otherwise(F.array(F.lit(0)))
     copied = right.join(hot, key, "left").withColumn(SALT, F.explode(copies)).drop("_hot")
     return salted.drop("_hot").join(copied, [key, SALT], "left").drop(SALT)
