@@ -13,18 +13,21 @@ EDGE = "\x01"
 
 
 def decode_entities(text: Column) -> Column:
-    """Named and numeric character references, each decoded once."""
+    """Named and numeric character references, each decoded once.
+
+    The closing semicolon may be missing when no letter or digit follows the name.
+    """
     named = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
     pieces = F.split(text, "&")
 
     def decode(piece: Column) -> Column:
-        name = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]*);", 1)
-        digits = F.regexp_extract(piece, r"^#([0-9]{1,7});", 1)
-        hexes = F.regexp_extract(piece, r"^#[xX]([0-9A-Fa-f]{1,6});", 1)
+        name = F.regexp_extract(piece, r"^[A-Za-z][A-Za-z0-9]*", 0)
+        digits = F.regexp_extract(piece, r"^#([0-9]{1,7})(?![0-9])", 1)
+        hexes = F.regexp_extract(piece, r"^#[xX]([0-9A-Fa-f]{1,6})(?![0-9A-Fa-f])", 1)
         number = F.when(digits != "", F.hex(digits.try_cast("long"))).when(hexes != "", hexes)
         valid = F.conv(number, 16, 10).try_cast("long").between(1, 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32")
-        rest = F.substr(piece, F.locate(";", piece) + 1)
+        rest = F.regexp_replace(piece, r"^#?[A-Za-z0-9]*;?", "")
         known = F.when(name == "amp", F.lit("&")).when(name != "", F.element_at(named, name))
         return (
             F.when(known.isNotNull(), F.concat(known, rest))

@@ -14,6 +14,7 @@ from jobmill.functions.tokens import (
     without_short_or_numeric,
     without_stop_words,
 )
+from jobmill.operators.skew import left_join_hot
 
 MAX_BROADCAST_LEMMAS = 2_000_000
 
@@ -33,19 +34,24 @@ def lemmatize(
 ) -> DataFrame:
     """Replace every token by its lemma; unknown tokens stay; order is kept.
 
-    ``lemma_rows`` is the counted size of the table: it is broadcast up to
-    ``MAX_BROADCAST_LEMMAS`` rows. Beyond that, or when not counted, Spark picks the
-    join from the sizes it measures. Tokens are regrouped per row, so a frame that is
-    partitioned by ``row_id`` moves no token under the broadcast form.
+    ``lemma_rows`` is the counted size of the table: up to ``MAX_BROADCAST_LEMMAS`` rows
+    it is broadcast and the tokens stay where they are until their row is rebuilt. A
+    larger table, or one that was not counted, is joined on the token with the very
+    frequent tokens spread over many tasks.
     """
-    table = lemma_table(lemmas).withColumnsRenamed({"lang": "_lang", "token": "_token", "lemma": "_lemma"})
-    if lemma_rows is not None and lemma_rows <= MAX_BROADCAST_LEMMAS:
-        table = F.broadcast(table)
+    table = lemma_table(lemmas).select(
+        F.concat_ws(" ", "lang", "token").alias("_key"), F.col("lemma").alias("_lemma")
+    )
     # The outer form keeps Catalyst from adding a filter that would tokenise twice.
     words = df.select(
         row_id, lemma_language(F.col(language)).alias("_lang"), F.posexplode_outer(tokens).alias("_pos", "_token")
     ).where("_token IS NOT NULL")
-    looked_up = words.join(table, ["_lang", "_token"], "left").select(
+    words = words.select(row_id, "_pos", "_token", F.concat_ws(" ", "_lang", "_token").alias("_key"))
+    if lemma_rows is not None and lemma_rows <= MAX_BROADCAST_LEMMAS:
+        joined_words = words.join(F.broadcast(table), "_key", "left")
+    else:
+        joined_words = left_join_hot(words, table, "_key", F.struct(row_id, "_pos"))
+    looked_up = joined_words.select(
         row_id, "_pos", F.coalesce("_lemma", "_token").alias("_word")
     )
     rebuilt = looked_up.groupBy(row_id).agg(

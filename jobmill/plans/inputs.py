@@ -9,6 +9,7 @@ from jobmill.functions.tokens import lemma_language
 from jobmill.operators.normalize import normalize_listing_batch, normalize_search_batch
 from jobmill.operators.nlp import content_tokens
 from jobmill.plans.corpus import add_clean_columns
+from jobmill.session import shared_dir
 from jobmill.sources.tables import postings
 
 TODAY = "2024-01-31 00:00:00"
@@ -101,9 +102,9 @@ def visit_results(jobs: DataFrame) -> DataFrame:
     )
 
 
-def plural_lemmas(corpus: DataFrame) -> DataFrame:
-    """A lemma table learned from the corpus: a word with a final s goes back to the same
-    word without it when both occur in texts of that language."""
+def plural_lemmas(corpus: DataFrame) -> tuple[DataFrame, int]:
+    """A lemma table learned from the corpus, stored, and its size: a word with a final s
+    goes back to the same word without it when both occur in texts of that language."""
     tokens = content_tokens(F.col("descripcion_limpia"), F.col("idioma_det"))
     words = corpus.select(
         lemma_language(F.col("idioma_det")).alias("lang"), F.explode_outer(tokens).alias("token")
@@ -111,6 +112,9 @@ def plural_lemmas(corpus: DataFrame) -> DataFrame:
     plural = words.where(F.endswith("token", F.lit("s"))).withColumn(
         "lemma", F.expr("substr(token, 1, length(token) - 1)")
     )
-    return plural.join(words.withColumnRenamed("token", "lemma"), ["lang", "lemma"], "left_semi").select(
-        "lang", "token", "lemma"
-    )
+    found = plural.join(words.withColumnRenamed("token", "lemma"), ["lang", "lemma"], "left_semi")
+    spark = corpus.sparkSession
+    path = shared_dir(spark, "lemmas")
+    found.select("lang", "token", "lemma").write.parquet(path)
+    stored = spark.read.schema("lang string, token string, lemma string").parquet(path)
+    return stored, stored.count()

@@ -209,7 +209,7 @@ def visible(x: str) -> str:
     x = sub(x, r"(?s)</?[A-Za-z!?][^>]*>", "\x01")
     for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("nbsp", "\xa0"), ("copy", "©"),
                        ("middot", "·"), ("amp", "&")):
-        x = f"replace({x}, '&{name};', {q(char)})"
+        x = sub(x, rf"&{name}(?:;|\b)", char)
     return x
 
 

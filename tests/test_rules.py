@@ -155,8 +155,8 @@ def test_report_rules(spark):
 
 
 def test_visible_text(spark):
-    page = "<html><head><title>T</title><style>p{}</style></head><body><!-- no --><p> a <b>b</b>&nbsp;</p><script>x</script>&lt;c&gt; &amp;lt; &#241;&#xe9; &unknown; &</body>"
-    assert apply(spark, html.visible_text, [page]) == ["T a b <c> &lt; ñé &unknown; &"]
+    page = "<html><head><title>T</title><style>p{}</style></head><body><!-- no --><p> a <b>b</b>&nbsp;</p><script>x</script>&lt;c&gt; &amp;lt; &#241;&#xe9; &unknown; &amp<br>&ampx; &</body>"
+    assert apply(spark, html.visible_text, [page]) == ["T a b <c> &lt; ñé &unknown; & &ampx; &"]
 
 
 @pytest.mark.parametrize("href,link", [("/a", "https://s/a"), ("https://o/b", "https://o/b"), (None, None)])
