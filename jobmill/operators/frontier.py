@@ -12,6 +12,16 @@ from jobmill.functions.postings import country_currency, country_subdomain
 MAX_PAGES = 5
 
 
+def search_config(assignments: DataFrame, worker: str, fallback: str = "default") -> DataFrame:
+    """``search_term, location, industry_niche`` of one worker; an unknown one takes ``fallback``.
+
+    ``assignments`` adds the column ``worker``.
+    """
+    known = assignments.agg(F.count_if(F.col("worker") == worker)).scalar() > 0
+    chosen = F.when(known, F.lit(worker)).otherwise(F.lit(fallback))
+    return assignments.where(F.col("worker") == chosen).select("search_term", "location", "industry_niche")
+
+
 def distinct_terms(config: DataFrame, term: str = "search_term") -> DataFrame:
     return config.select(F.col(term).alias("search_term")).where("search_term IS NOT NULL").distinct()
 

@@ -16,6 +16,8 @@ def build_session(master: str | None = None, app: str = "jobmill", **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        # Texts and pages are long: small Arrow batches bound the memory of a worker.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     builder = SparkSession.builder.appName(app)

@@ -64,8 +64,14 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     flags_as_words(df).write.mode(mode).options(lineSep="\n", **CSV).csv(path)
 
 
-def write_report_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One spreadsheet file with a byte-order mark. For the small report extract only."""
+def write_report_csv(df: DataFrame, path: str, mode: str = "errorifexists", files: int | None = None) -> None:
+    """Spreadsheet files, each with a byte-order mark and a header.
+
+    Tasks write their own part, in order for an ordered report. ``files`` merges the
+    parts of a report that is known to be small.
+    """
     first, *rest = df.columns
     marked = flags_as_words(df).withColumnRenamed(first, BOM + first)
-    marked.coalesce(1).write.mode(mode).options(**CSV).csv(path)
+    if files is not None:
+        marked = marked.coalesce(files)
+    marked.write.mode(mode).options(**CSV).csv(path)

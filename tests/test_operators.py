@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from jobmill import schema as S
 from jobmill.functions.text import clean_description
-from jobmill.operators import audit, enrich, language, load, nlp, pages, rank, skew, streaks
+from jobmill.operators import audit, enrich, frontier, language, load, nlp, pages, rank, skew, streaks
 from jobmill.plans.inputs import moment
 from jobmill.sources import csv_files, lake
 from jobmill.sources.tables import postings, table
@@ -218,7 +218,7 @@ def test_csv_roundtrip_of_hard_values(spark, tmp_path):
     assert rows(back, "a", "b", "f") == sorted(
         [("a,b", 'say "x"\nline', "True"), (" blanks ", None, "False"), (None, None, None), ("\\n", "ñ", "True")], key=str
     )
-    csv_files.write_report_csv(df, str(tmp_path / "r"))
+    csv_files.write_report_csv(df, str(tmp_path / "r"), files=1)
     part = next((tmp_path / "r").glob("part-*.csv"))
     assert part.read_bytes().startswith(b"\xef\xbb\xbfa,b")
 
@@ -255,6 +255,19 @@ def test_stream_insert_is_idempotent(spark, tmp_path):
     assert watermarked.isStreaming
 
 
+def test_search_config_and_frontier(spark):
+    table = spark.createDataFrame(
+        [("w1", "Data Engineer", "México", "n1"), ("default", "Cloud Engineer", "México", "n2"), ("w1", "QA", "México", "n1")],
+        "worker string, search_term string, location string, industry_niche string",
+    )
+    assert rows(frontier.search_config(table, "w1"), "search_term") == [("Data Engineer",), ("QA",)]
+    assert rows(frontier.search_config(table, "nobody"), "search_term") == [("Cloud Engineer",)]
+    found = frontier.search_pages(table.where("worker = 'default'"), "occ", pages=2, remote=True)
+    assert rows(found, "url") == [
+        (f"https://www.occ.com.mx/empleos/de-Cloud-Engineer/en-mexico-y-teletrabajo/?page={n}",) for n in (1, 2)
+    ]
+
+
 def test_audit_of_empty_table(spark):
     empty = spark.createDataFrame([], "title string, job_url string, salary_min double")
     assert tuple(audit.summary(empty).first()) == (0, 0, 0, 0.0)
