@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.ml.clustering import LDA, KMeans
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobmill.functions.text import bind
 from jobmill.functions.tokens import ngrams
 
 SEED = 42
@@ -18,14 +19,23 @@ def _terms(df: DataFrame, row_id: str, tokens: str, low: int, high: int) -> Data
     return df.select(row_id, terms).where("term IS NOT NULL")
 
 
-def term_counts(df: DataFrame, row_id: str, tokens: str, low: int = 1, high: int = 1) -> DataFrame:
-    """Occurrences and document count of each n-gram.
+def term_counts(df: DataFrame, tokens: str, low: int = 1, high: int = 1) -> DataFrame:
+    """Occurrences and document count of each n-gram, with one shuffle.
 
-    Counting per document first keeps ``countDistinct`` out: both steps combine
-    before their shuffle, so a word that every text holds is one row per task.
+    A text emits every n-gram for the first count and every distinct one for the second;
+    both sums combine by term before the shuffle, so no (text, term) pair is moved.
     """
-    per_text = _terms(df, row_id, tokens, low, high).groupBy(row_id, "term").agg(F.count(F.lit(1)).alias("n"))
-    return per_text.groupBy("term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_docs"))
+
+    def marks(grams: Column) -> Column:
+        def mark(n: int, n_docs: int):
+            return lambda g: F.struct(g.alias("term"), F.lit(n).alias("n"), F.lit(n_docs).alias("n_docs"))
+
+        return F.concat(F.transform(grams, mark(1, 0)), F.transform(F.array_distinct(grams), mark(0, 1)))
+
+    rows = df.select(F.inline_outer(bind(ngrams(F.col(tokens), low, high), marks)))
+    return (
+        rows.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+    )
 
 
 def top_terms(counts: DataFrame, k: int) -> DataFrame:
@@ -37,15 +47,20 @@ def tfidf_top(df: DataFrame, row_id: str, tokens: str, high: int = 3, vocabulary
 
     ``idf = ln((1 + documents) / (1 + documents with the term)) + 1``.
     """
-    per_text = _terms(df, row_id, tokens, 1, high).groupBy(row_id, "term").agg(F.count(F.lit(1)).alias("tf"))
-    counts = per_text.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("n_docs"))
-    kept = top_terms(counts, vocabulary)
+    kept = top_terms(term_counts(df, tokens, 1, high), vocabulary)
     documents = df.agg(F.count(F.lit(1))).scalar()
     idf = kept.select(
         "term", "n", "n_docs", (F.log((documents + 1.0) / (F.col("n_docs") + 1.0)) + 1.0).alias("idf")
     )
-    # ``kept`` holds at most ``vocabulary`` rows, so it may be broadcast.
-    weighted = per_text.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    # ``kept`` holds at most ``vocabulary`` rows, so it may be broadcast; terms outside
+    # it are gone before anything is grouped.
+    per_text = (
+        _terms(df, row_id, tokens, 1, high)
+        .join(F.broadcast(idf), "term")
+        .groupBy(row_id, "term", "n", "n_docs", "idf")
+        .agg(F.count(F.lit(1)).alias("tf"))
+    )
+    weighted = per_text.withColumn("w", F.col("tf") * F.col("idf"))
     # A text keeps at most ``vocabulary`` terms: its list is bounded and gives its norm.
     texts = weighted.groupBy(row_id).agg(
         F.collect_list(F.struct("term", "n", "n_docs", "w")).alias("terms"),

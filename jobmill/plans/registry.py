@@ -585,7 +585,7 @@ def _token_rows(spark, folder):
 
 @query
 def term_frequencies(spark, folder):
-    return features.term_counts(_token_rows(spark, folder), "id", "tokens")
+    return features.term_counts(_token_rows(spark, folder), "tokens")
 
 
 @query
@@ -595,7 +595,7 @@ def bow_top_terms(spark, folder):
 
 @query
 def ngram_counts(spark, folder):
-    counts = features.term_counts(_token_rows(spark, folder), "id", "tokens", 2, 3)
+    counts = features.term_counts(_token_rows(spark, folder), "tokens", 2, 3)
     return features.top_terms(counts, 1000)
 
 
