@@ -13,6 +13,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A key is hot above this share of the rows, so fewer than ``1 / HOT_SHARE`` keys are.
 HOT_SHARE = 1 / 2048
+#: Places of the keys that are not hot, at least.
+FEWEST_PLACES = 2048
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -87,7 +89,7 @@ def places(df: DataFrame, hashed: Column, spread: Column, per_place: int) -> tup
     limit = max(2.0, rows * HOT_SHARE)
     found = counts.where(F.col("_n") > limit).orderBy("_h").collect()
     drop(counts)
-    cold = max(16, -(-rows // per_place))
+    cold = max(FEWEST_PLACES, -(-rows // per_place))
     listed, first = [], cold
     for h, n in found:
         fan = int(-(-n // limit))
