@@ -103,3 +103,24 @@ ranked AS (
     first_value(doc_id) OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) AS keep_id,
     count(*) OVER (PARTITION BY t) AS group_size FROM texts)
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256 FROM ranked"""
+
+# Exact sets, all pairs that share a shingle and whose sizes allow a link, then reachability.
+ORACLES["op3_near_dedup"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+sizes AS (SELECT w.doc_id, count(s) AS n FROM words w LEFT JOIN shingles s ON s.doc_id = w.doc_id GROUP BY w.doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sizes UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other)
+SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
+FROM sizes s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.n"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmill.llm import apportion, exact_dedup, sharding
+from jobmill.llm import apportion, exact_dedup, near_dedup, sharding
 from jobmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return apportion.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op3_near_dedup")
+def near(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, folder, "documents"))
+
+
 @query("op4_slot_sharding")
 def slot_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents")).drop("virtual_slot")
