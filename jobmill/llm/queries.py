@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmill.llm import apportion, exact_dedup, near_dedup, sharding
+from jobmill.llm import apportion, exact_dedup, near_dedup, sharding, vector_search
 from jobmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,8 @@ def slot_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_exact_dedup")
 def exact(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
+
+
+@query("op9_vector_search")
+def vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.top_k(table(spark, folder, "embeddings"))
