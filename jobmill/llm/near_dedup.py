@@ -141,47 +141,79 @@ def components(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("a", "doc_id")
 
 
+def own_parts(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``doc_id, own, shared``: how many shingles of a document no other of ``docs`` has, and the rest."""
+    some = sets.join(docs, "doc_id", "left_semi")
+    counted = some.select("doc_id", F.explode("shingles").alias("_s")).groupBy("_s").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("doc_id")
+    )
+    own = counted.where("_n = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
+    sizes = some.select("doc_id", F.size("shingles").alias("_size"))
+    return sizes.join(own, "doc_id", "left").select(
+        "doc_id", F.coalesce("own", F.lit(0)).alias("own"), (F.col("_size") - F.coalesce("own", F.lit(0))).alias("shared")
+    )
+
+
 def linked(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """All links that join different components, as a stored table ``a, b``.
-
-    ``members`` has the rows ``bucket, doc_id`` of buckets with two documents or more. In each
-    round a bucket that still holds several components chooses one document of each, by a
-    hash of round and bucket, and a star of pairs joins it to the documents of the bucket's
-    other components. What is then in one component needs no more pairs. After the star
-    rounds, the pairs across components that no star has held are made, so that no link
-    between components is lost. The pairs of a round grow with members times components of
-    their bucket, not with the square of a group of near copies, which is one component.
+    """Links that join all documents of a component, as a table ``a, b``.
+
+    ``members`` has the rows ``bucket, doc_id`` of buckets with two documents or more. First a
+    star joins each bucket's smallest id to its other documents. A bucket that then holds
+    several components chooses in each round one document of each, by a hash of round and
+    bucket, and a star joins it to the documents of the other components. What is in one
+    component needs no more pairs. After the star rounds, the pairs across components that no
+    star has held are made, so that no link between components is lost.
+
+    Many changed copies of one text may meet in a bucket without a link. Shingles that a
+    document shares with no other still unsettled one lie outside every intersection: a link
+    needs ``own_a + own_b <= 15/85 * min(shared_a, shared_b)``. So two documents that are
+    both *heavy*, ``own > 15/170 * shared``, cannot be linked, and only pairs with a light
+    document are made.
     """
     spark = members.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     tried = spark.createDataFrame([], "a long, b long")
     label = members.select("doc_id", F.col("doc_id").alias("label")).distinct()
+    rest = 100 - PERCENT
+
+    def ends(stars: DataFrame) -> DataFrame:
+        return stars.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b"))
+
     for turn in range(STAR_ROUNDS + 1):
-        known = members.join(label, "doc_id")
-        by_label = known.groupBy("bucket", "label")
         if turn == 0:
-            # One centre for the whole bucket: all components are single documents.
-            centres = members.groupBy("bucket").agg(F.min("doc_id").alias("centre")).withColumn("centre_label", F.col("centre"))
+            first = members.groupBy("bucket").agg(F.min("doc_id").alias("centre"))
+            pairs = ends(members.join(first, "bucket").where("doc_id <> centre"))
         else:
-            unsettled = known.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"))
-            known = known.join(unsettled.where("_lo < _hi").select("bucket"), "bucket", "left_semi")
+            known = members.join(label, "doc_id")
+            span = known.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"))
+            known = known.join(span.where("_lo < _hi").select("bucket"), "bucket", "left_semi")
+            if turn == 1:
+                parts = store(own_parts(known.select("doc_id").distinct(), sets), "parts")
+            known = known.join(parts, "doc_id").where(PERCENT * F.col("own") <= rest * F.col("shared"))
+            known = known.withColumn("light", 2 * PERCENT * F.col("own") <= rest * F.col("shared"))
+            known = store(known, f"unsettled{turn}")
+            centres = known.select(
+                "bucket", *[F.col(c).alias("_" + c) for c in ("label", "light", "own", "shared")], F.col("doc_id").alias("centre")
+            )
             if turn < STAR_ROUNDS:
-                order = F.xxhash64(F.lit(turn), "bucket", "doc_id")
-                centres = by_label.agg(F.min_by("doc_id", order).alias("centre")).withColumnRenamed("label", "centre_label")
-            else:
-                centres = known.withColumnsRenamed({"doc_id": "centre", "label": "centre_label"})
-        pairs = known.join(centres, "bucket").where("label <> centre_label").select(
-            F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")
-        )
+                order = F.struct(~F.col("_light"), F.xxhash64(F.lit(turn), "bucket", "centre"))
+                chosen = centres.groupBy("bucket", "_label").agg(
+                    F.min_by(F.struct("centre", "_light", "_own", "_shared"), order).alias("_c")
+                )
+                centres = chosen.select("bucket", "_label", "_c.*")
+            stars = known.join(centres.where("_light"), "bucket").unionByName(
+                known.where("light").join(centres.where("NOT _light"), "bucket")
+            )
+            fit = PERCENT * (F.col("own") + F.col("_own")) <= rest * F.least("shared", "_shared")
+            pairs = ends(stars.where((F.col("label") != F.col("_label")) & fit))
         pairs = store(pairs.distinct().join(tried, ["a", "b"], "left_anti"), f"pairs{turn}")
-        if pairs.isEmpty():
-            break
+        if turn and pairs.isEmpty():
+            continue
         found = store(confirmed(pairs, sets), f"links{turn}")
         tried = tried.unionByName(pairs)
         if not found.isEmpty():
             links = links.unionByName(found)
-            new = components(links)
-            label = members.select("doc_id").distinct().join(new, "doc_id", "left").select(
+            label = members.select("doc_id").distinct().join(components(links), "doc_id", "left").select(
                 "doc_id", F.coalesce("label", "doc_id").alias("label")
             )
     return links
