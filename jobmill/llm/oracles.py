@@ -136,3 +136,15 @@ scores AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+ORACLES["op6_warc_captures"] = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(encode(coalesce(html, ''))) AS h FROM pages),
+digests AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 8), lambda i:
+    array_to_string(list_transform(range(0, 4), lambda j:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * i + 1, 5))::BIGINT >> (15 - 5 * j)) & 31)::INT + 1, 1)), '')), '')
+    AS payload_digest FROM payloads),
+ranked AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM digests)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to FROM ranked"""

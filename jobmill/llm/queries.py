@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmill.llm import apportion, exact_dedup, near_dedup, sharding, vector_search
+from jobmill.llm import apportion, exact_dedup, near_dedup, sharding, vector_search, warc
 from jobmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,8 @@ def exact(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_vector_search")
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search.top_k(table(spark, folder, "embeddings"))
+
+
+@query("op6_warc_captures")
+def captures(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.page_captures(table(spark, folder, "pages"))
