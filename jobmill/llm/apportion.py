@@ -162,3 +162,25 @@ def mix(
     )
     taken = F.when(z > 0, F.col("_turns") * F.col("size") + part).otherwise(F.lit(0))
     return run.select(*keep, "size", "source_size", "target", taken.cast("long").alias("taken"), "src", "shard")
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The documents of the mixture, with all their columns: each row as often as the words
+    taken make up its size, rounded, so at most twice.
+
+    Only id, source, size and number of copies meet the documents. Rows that share these
+    three share the copies: each gets the rounded mean.
+    """
+    rows = mix(docs)
+    part = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(F.lit(0))
+    copies = rows.groupBy(*[F.col(c).alias("_mix_" + c) for c in ("doc_id", "source", "size")]).agg(
+        F.round(F.avg(part)).cast("int").alias("_copies")
+    )
+    on = (
+        docs["doc_id"].eqNullSafe(F.col("_mix_doc_id"))
+        & docs["source"].eqNullSafe(F.col("_mix_source"))
+        & (n_words(docs["text"]) == F.col("_mix_size"))
+    )
+    chosen = docs.join(copies.where("_copies > 0"), on)
+    again = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
+    return chosen.select(*[docs[c] for c in docs.columns], again).drop("_copy")

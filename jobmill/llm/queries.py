@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmill.llm import apportion, exact_dedup, near_dedup, sharding, vector_search, warc
+from jobmill.llm import apportion, exact_dedup, near_dedup, packing, sharding, vector_search, warc, weak_quality
 from jobmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,13 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_warc_captures")
 def captures(spark: SparkSession, folder: str) -> DataFrame:
     return warc.page_captures(table(spark, folder, "pages"))
+
+
+@query("op5_genetic_packing")
+def packed(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query("op10_weak_label_quality")
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    return weak_quality.score(table(spark, folder, "documents"))
