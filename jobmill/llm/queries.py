@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmill.llm import apportion, exact_dedup, near_dedup, packing, sharding, vector_search, warc, weak_quality
+from jobmill.llm import apportion, exact_dedup, near_dedup, packing, sharding, toxicity, vector_search, warc, weak_quality
 from jobmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ def packed(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_weak_label_quality")
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     return weak_quality.score(table(spark, folder, "documents"))
+
+
+@query("op2_deobfuscated_toxicity")
+def toxic(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
