@@ -148,3 +148,23 @@ digests AS (
 ranked AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM digests)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> last THEN last END AS refers_to FROM ranked"""
+
+ORACLES["op7_tool_calls"] = """
+WITH RECURSIVE asks AS (
+  SELECT conv_id, turn, text, ['search', 'lookup', 'recall'][turn % 3 + 1] AS name, turn // 2 AS half,
+    len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS top FROM conversations WHERE role = 'assistant'),
+linked AS (
+  SELECT a.*, b.turn AS need, r.text AS content, r.turn IS NOT NULL AS has FROM asks a
+  LEFT JOIN asks b ON b.conv_id = a.conv_id AND b.turn = a.half AND a.half <> a.turn
+  LEFT JOIN conversations r ON r.conv_id = a.conv_id AND r.turn = a.turn + 1),
+depth(conv_id, turn, level) AS (
+  SELECT conv_id, turn, 0 FROM linked WHERE need IS NULL
+  UNION ALL SELECT l.conv_id, l.turn, d.level + 1 FROM linked l JOIN depth d ON d.conv_id = l.conv_id AND d.turn = l.need)
+SELECT l.conv_id, l.turn, concat('call-', l.conv_id, '-', l.turn) AS call_id, l.name, d.level::INT AS level,
+  CASE WHEN name = 'recall' THEN 'unknown tool'
+    WHEN name = 'search' AND (len(text) < 1 OR top < 1 OR top > 80) OR name = 'lookup' AND len(text) > 400 THEN 'invalid'
+    WHEN NOT has THEN 'no result' ELSE 'ok' END AS status,
+  concat('{"arguments":{"after":[', CASE WHEN need IS NOT NULL THEN concat('"call-', l.conv_id, '-', need, '"') ELSE '' END,
+    '],"query":', to_json(text)::VARCHAR, ',"top":', top, '},"id":"call-', l.conv_id, '-', l.turn, '","name":"', name,
+    '","result":', coalesce(to_json(content)::VARCHAR, 'null'), '}') AS canonical
+FROM linked l JOIN depth d ON d.conv_id = l.conv_id AND d.turn = l.turn"""

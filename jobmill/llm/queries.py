@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmill.llm import apportion, exact_dedup, near_dedup, packing, sharding, toxicity, vector_search, warc, weak_quality
+from jobmill.llm import (
+    apportion,
+    exact_dedup,
+    near_dedup,
+    packing,
+    sharding,
+    tool_calls,
+    toxicity,
+    vector_search,
+    warc,
+    weak_quality,
+)
 from jobmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +74,8 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_deobfuscated_toxicity")
 def toxic(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op7_tool_calls")
+def tool_links(spark: SparkSession, folder: str) -> DataFrame:
+    return tool_calls.link(*tool_calls.turn_calls(table(spark, folder, "conversations")))
