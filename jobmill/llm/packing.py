@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,11 +24,40 @@ CAPACITY = 4096
 CELL_ITEMS = 8192
 ISLANDS, MIGRATIONS = 3, 2
 POPULATION, GENERATIONS = 4, 6
-#: Words whose ids a worker remembers.
-REMEMBERED = 200_000
+#: Words whose ids a worker remembers, some 200 MB.
+REMEMBERED = 1_000_000
+MARK = re.compile(rb"(?<=[a-z0-9])([.,])(?=[\x20\x09-\x0D]|$)")
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
+# Letters that no step before the merges changes or parts, once they are lower case.
+PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+# Byte-level vocabularies write a byte that is no printable Latin-1 character as the next free
+# character from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
+def word_ids(coder, words: list[bytes]) -> list[list[int]]:
+    """Ids of runs without blanks. A run of plain letters is one piece, so the vocabulary's merges
+    alone are asked; other runs go through all steps of the tokenizer."""
+    merges, out, rest = coder.model, [], []
+    for i, word in enumerate(words):
+        text = word.decode()
+        if not word.isalpha():
+            text = text.lower()
+            if not PLAIN.fullmatch(text):
+                rest.append(i)
+                out.append([])
+                continue
+            text = text.encode().decode("latin-1").translate(BYTE_CHARS)
+        out.append([x.id for x in merges.tokenize(text)])
+    coded = coder.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False)
+    for i, e in zip(rest, coded, strict=True):
+        out[i] = e.ids
+    return out
+
+
 @lru_cache(maxsize=2)
 def tokenizer(name: str):
     import public_tokenizers
@@ -40,12 +70,15 @@ def encode(texts: list[str], name: str = TOKENIZER) -> list[np.ndarray]:
     """Token ids of every text, as the tokenizer gives them for the whole text.
 
     Its pieces never cross ASCII blanks, so every distinct run of other characters is encoded
-    once and remembered. ASCII capitals are lowered first, as the tokenizer does itself,
-    unless the text could hold a special token's name.
+    once and its ids are remembered as bytes. A full stop or comma after an ASCII letter or
+    digit is a piece of its own at a run's end, so it is parted first. ASCII capitals are
+    lowered, as the tokenizer does itself, unless the text could hold a special token's name.
     """
     coder, known = tokenizer(name)
-    split = [data.split() if b"<|" in data else data.lower().split() for data in (t.encode() for t in texts)]
-    missing = set(chain.from_iterable(split)) - known.keys()
+    split = []
+    for data in (t.encode() for t in texts):
+        split.append((data if b"<|" in data else MARK.sub(rb" \1", data.lower())).split())
+    missing = {w for w in set(chain.from_iterable(split)) if w not in known}
     if missing:
         if len(known) + len(missing) > REMEMBERED:
             known.clear()
@@ -53,10 +86,10 @@ def encode(texts: list[str], name: str = TOKENIZER) -> list[np.ndarray]:
         words = list(missing)
         for at in range(0, len(words), 4096):
             part = words[at : at + 4096]
-            coded = coder.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            known.update(zip(part, (e.ids for e in coded), strict=True))
+            coded = word_ids(coder, part)
+            known.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(part, coded, strict=True))
     get = known.__getitem__
-    return [np.fromiter(chain.from_iterable(map(get, words)), "<u4") for words in split]
+    return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, name: str = TOKENIZER) -> DataFrame:
