@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # The three amount patterns.
 THOUSANDS = r"(?U)\$\s?([0-9]{1,3}(?:,[0-9]{3})+)"
-ANY_AMOUNT = r"(?U)\$?\s*([0-9,]+\.?[0-9]*)"
-FIRST_AMOUNT = r"(?U)\$\s*[0-9,]+\.?[0-9]*(?:\s*[-–]\s*\$?\s*[0-9,]+\.?[0-9]*)?"
+ANY_AMOUNT = r"(?U)([0-9,]+\.?[0-9]*)"
+FIRST_AMOUNT = r"(?U)\$\s*+[0-9,]+\.?[0-9]*(?:\s*+[-–]\s*+\$?\s*+[0-9,]+\.?[0-9]*)?"
 
 
 def amounts(text: Column, pattern: str) -> Column:

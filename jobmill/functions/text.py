@@ -63,7 +63,8 @@ def drop_emphasis(text: Column) -> Column:
 
 
 def drop_bullets(text: Column) -> Column:
-    return drop(text, r"(?mUd)^\s*[*\-•·]\s*")
+    # A run of blanks without a bullet is taken whole and put back, so no line of it starts anew.
+    return drop(text, r"(?mUd)^\s*+[*\-•·]\s*+|(^\s++)", "$1")
 
 
 def drop_hashtags(text: Column) -> Column:

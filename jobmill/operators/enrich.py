@@ -37,13 +37,20 @@ def batches(jobs: DataFrame, daily_limit: int = DAILY_LIMIT, size: int = BATCH_S
     )
 
 
+def one_per_link(results: DataFrame) -> DataFrame:
+    """``job_url, description, salary_raw``: of several results of a link one with a
+    description, else any with a salary; ties go to the greatest texts. Null links are left out."""
+    best = F.max(F.struct("description", "salary_raw")).alias("_best")
+    return results.where(F.col("job_url").isNotNull()).groupBy("job_url").agg(best).select("job_url", "_best.*")
+
+
 def merge_details(listing: DataFrame, details: DataFrame, row_id: str) -> DataFrame:
-    """Description and missing salary of listing rows from detail pages (one per link).
+    """Description and missing salary of listing rows from detail pages.
 
     Salary is filled only when no row of the link has one; both ends come together.
     """
     known = listing.groupBy("job_url").agg(F.max("salary_min").alias("_known"))
-    found = details.join(known, "job_url", "left").select(
+    found = one_per_link(details).join(known, "job_url", "left").select(
         "job_url",
         F.col("description").alias("_text"),
         F.when(F.col("_known").isNull() & (F.col("salary_raw") != ""), parse_salary(F.col("salary_raw"))).alias("_pay"),
@@ -63,9 +70,9 @@ def apply_updates(jobs: DataFrame, updates: DataFrame, now: Column) -> DataFrame
 
     Only pending rows take part in the join; the rest of the table is passed on
     without a shuffle.
-    ``updates`` has one row per visited link: ``job_url, description, salary_raw``.
+    ``updates`` has ``job_url, description, salary_raw``; a link with several results counts once.
     """
-    found = updates.select(
+    found = one_per_link(updates).select(
         "job_url",
         F.lit(True).alias("_visited"),
         F.col("description").alias("_text"),

@@ -42,7 +42,7 @@ def top_terms(counts: DataFrame, k: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), "term").limit(k)
 
 
-def tfidf_top(df: DataFrame, row_id: str, tokens: str, high: int = 3, vocabulary: int = 5000, k: int = 100) -> DataFrame:
+def tfidf_top(df: DataFrame, row_id: str, tokens: str, high: int = 3, vocabulary: int = 5000) -> DataFrame:
     """Terms of the ``vocabulary`` most frequent n-grams by total L2-normalised tf-idf.
 
     ``idf = ln((1 + documents) / (1 + documents with the term)) + 1``.
@@ -70,8 +70,6 @@ def tfidf_top(df: DataFrame, row_id: str, tokens: str, high: int = 3, vocabulary
         texts.select("norm", F.explode("terms").alias("t"))
         .groupBy("t.term", "t.n", "t.n_docs")
         .agg(F.round(F.sum(F.col("t.w") / F.col("norm")), 6).alias("tfidf"))
-        .orderBy(F.desc("tfidf"), "term")
-        .limit(k)
     )
 
 

@@ -13,27 +13,42 @@ from pyspark.sql import functions as F
 from jobmill import schema as S
 
 
+TIE = "_tie"
+
+
+def with_tie(df: DataFrame) -> DataFrame:
+    """``df`` with a hash of the whole row, which orders rows of equal position."""
+    return df.withColumn(TIE, F.xxhash64(*[F.col(c) for c in df.columns]))
+
+
 def first_positions(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Key and order columns of the first row of every key.
+    """Key, order columns and ``TIE`` of the first row of every key; nulls come first.
 
-    Only these columns are grouped and they combine before the shuffle, so a key with
-    very many copies sends one row per task.
+    ``df`` comes from ``with_tie``. Only these columns are grouped and they combine before the
+    shuffle, so a key with very many copies sends one row per task.
     """
-    order = list(order)
-    keyed = df.where(F.col(key).isNotNull())
-    if len(order) == 1:
-        return keyed.groupBy(key).agg(F.min(order[0]).alias(order[0]))
-    first = keyed.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
+    order = [*order, TIE]
+    first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
     return first.select(F.col(key), *[F.col(f"_first.{c}").alias(c) for c in order])
 
 
-def dedup_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """First row of every key by ``order``; rows without a key are left out.
+def rows_at(df: DataFrame, positions: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The one row of ``df`` at each position, matched null-safe.
 
-    Whole rows meet their position on key and order together. That pair is unique, so
-    copies of one key spread over all tasks.
+    Key, order and hash meet, so copies of one key spread over all tasks. Only rows that are
+    equal in every column are still more than one; of these the last step keeps one.
     """
-    return df.join(first_positions(df, key, order), [key, *order], "left_semi")
+    named = positions.withColumnsRenamed({c: f"_at_{c}" for c in positions.columns})
+    same = F.lit(True)
+    for c in positions.columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
+    return df.join(named, same, "left_semi").dropDuplicates([key]).drop(TIE)
+
+
+def dedup_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """First row of every key by ``order``, ties by the row's hash; rows without a key are left out."""
+    tied = with_tie(df)
+    return rows_at(tied, first_positions(tied, key, order), key, order)
 
 
 def rejects(df: DataFrame, required: Sequence[str] = S.REQUIRED) -> Column:
@@ -47,10 +62,10 @@ def rejects(df: DataFrame, required: Sequence[str] = S.REQUIRED) -> Column:
 
 def new_rows(stored: DataFrame, batch: DataFrame, order: Sequence[str], key: str = "job_url") -> DataFrame:
     """Rows of the batch that enter the table: first per key, key not stored yet."""
-    accepted = batch.where(~rejects(batch))
-    # Stored keys are taken out of the narrow positions, so whole rows move once.
+    accepted = with_tie(batch.where(~rejects(batch)))
+    # Stored keys are taken out of the narrow positions, so whole rows move little.
     wanted = first_positions(accepted, key, order).join(stored.select(key), key, "left_anti")
-    return accepted.join(wanted, [key, *order], "left_semi")
+    return rows_at(accepted, wanted, key, order)
 
 
 def insert_new(stored: DataFrame, batch: DataFrame, order: Sequence[str], key: str = "job_url") -> DataFrame:
@@ -108,10 +123,6 @@ def mark_notified(jobs: DataFrame) -> DataFrame:
     return jobs.withColumn("status", F.when(F.col("status") == S.NEW, S.NOTIFIED).otherwise(F.col("status")))
 
 
-def notified_count(jobs: DataFrame) -> DataFrame:
-    return jobs.agg(F.count_if(F.col("status") == S.NEW).alias("updated"))
-
-
 def mark_applied(jobs: DataFrame, ids: DataFrame, applied_at: Column) -> DataFrame:
     """Set status and application time of every id in ``ids``; unknown ids do nothing."""
     chosen = ids.select("id").distinct().withColumn("_hit", F.lit(True))

@@ -14,9 +14,6 @@ from jobmill.functions.tokens import (
     without_short_or_numeric,
     without_stop_words,
 )
-from jobmill.operators.skew import left_join_hot
-
-MAX_BROADCAST_LEMMAS = 2_000_000
 
 
 def content_tokens(text: Column, language: Column) -> Column:
@@ -30,14 +27,12 @@ def lemma_table(lemmas: DataFrame) -> DataFrame:
 
 
 def lemmatize(
-    df: DataFrame, row_id: str, tokens: str, language: str, lemmas: DataFrame, lemma_rows: int | None = None
+    df: DataFrame, row_id: str, tokens: str, language: str, lemmas: DataFrame
 ) -> DataFrame:
     """Replace every token by its lemma; unknown tokens stay; order is kept.
 
-    ``lemma_rows`` is the counted size of the table: up to ``MAX_BROADCAST_LEMMAS`` rows
-    it is broadcast and the tokens stay where they are until their row is rebuilt. A
-    larger table, or one that was not counted, is joined on the token with the very
-    frequent tokens spread over many tasks.
+    The lookup is a plain join on the token: Spark broadcasts a table below its own size limit
+    and splits frequent tokens of a larger one at run time.
     """
     table = lemma_table(lemmas).select(
         F.concat_ws(" ", "lang", "token").alias("_key"), F.col("lemma").alias("_lemma")
@@ -47,10 +42,7 @@ def lemmatize(
         row_id, lemma_language(F.col(language)).alias("_lang"), F.posexplode_outer(tokens).alias("_pos", "_token")
     ).where("_token IS NOT NULL")
     words = words.select(row_id, "_pos", "_token", F.concat_ws(" ", "_lang", "_token").alias("_key"))
-    if lemma_rows is not None and lemma_rows <= MAX_BROADCAST_LEMMAS:
-        joined_words = words.join(F.broadcast(table), "_key", "left")
-    else:
-        joined_words = left_join_hot(words, table, "_key", F.struct(row_id, "_pos"))
+    joined_words = words.join(table, "_key", "left")
     looked_up = joined_words.select(
         row_id, "_pos", F.coalesce("_lemma", "_token").alias("_word")
     )
@@ -69,7 +61,6 @@ def lemmatize(
 def add_nlp_columns(
     corpus: DataFrame,
     lemmas: DataFrame | None = None,
-    lemma_rows: int | None = None,
     row_id: str = "id",
     title: str = "title",
     text: str = "descripcion_limpia",
@@ -92,7 +83,7 @@ def add_nlp_columns(
     )
     out = out.withColumns({"_n": F.size("_title"), "_all": F.concat("_title", "_text")}).drop("_title", "_text")
     if lemmas is not None:
-        out = lemmatize(out, row_id, "_all", language, lemmas, lemma_rows)
+        out = lemmatize(out, row_id, "_all", language, lemmas)
     out = out.withColumns(
         {
             "titulo_nlp": joined(F.slice("_all", F.lit(1), F.col("_n"))),

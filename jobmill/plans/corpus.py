@@ -46,6 +46,6 @@ def cleaned_corpus(jobs: DataFrame, model: LanguageModel) -> DataFrame:
     return found.select(*[c for c in S.CORPUS_COLUMNS if c in found.columns])
 
 
-def nlp_corpus(corpus: DataFrame, lemmas: DataFrame | None = None, lemma_rows: int | None = None) -> DataFrame:
+def nlp_corpus(corpus: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
     """The cleaned corpus plus its five token columns."""
-    return add_nlp_columns(corpus, lemmas, lemma_rows)
+    return add_nlp_columns(corpus, lemmas)

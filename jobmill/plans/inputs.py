@@ -102,8 +102,8 @@ def visit_results(jobs: DataFrame) -> DataFrame:
     )
 
 
-def plural_lemmas(corpus: DataFrame) -> tuple[DataFrame, int]:
-    """A lemma table learned from the corpus, stored, and its size: a word with a final s
+def plural_lemmas(corpus: DataFrame) -> DataFrame:
+    """A lemma table learned from the corpus, stored: a word with a final s
     goes back to the same word without it when both occur in texts of that language."""
     tokens = content_tokens(F.col("descripcion_limpia"), F.col("idioma_det"))
     words = corpus.select(
@@ -116,5 +116,4 @@ def plural_lemmas(corpus: DataFrame) -> tuple[DataFrame, int]:
     spark = corpus.sparkSession
     path = shared_dir(spark, "lemmas")
     found.select("lang", "token", "lemma").write.parquet(path)
-    stored = spark.read.schema("lang string, token string, lemma string").parquet(path)
-    return stored, stored.count()
+    return spark.read.schema("lang string, token string, lemma string").parquet(path)

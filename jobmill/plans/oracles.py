@@ -464,13 +464,13 @@ ORACLES: dict[str, str] = {
       array_to_string(regexp_extract_all(html, '(?i)<a\\b[^>]*?\\shref="([^"]*)"', 1), ' ') AS links FROM pages""",
     "term_frequencies": f"{counted_terms(1, 1)} SELECT * FROM counts",
     "bow_top_terms": f"{counted_terms(1, 1)} SELECT * FROM counts ORDER BY n DESC, term LIMIT 3000",
-    "ngram_counts": f"{counted_terms(2, 3)} SELECT * FROM counts ORDER BY n DESC, term LIMIT 1000",
+    "ngram_counts": f"{counted_terms(2, 3)} SELECT * FROM counts",
     "tfidf_top_terms": f"""{counted_terms(1, 3)}, kept AS (SELECT *, ln(((SELECT count(*) FROM nlp) + 1.0) / (n_docs + 1.0)) + 1.0 AS idf
         FROM (SELECT * FROM counts ORDER BY n DESC, term LIMIT 5000)),
       weighted AS (SELECT id, term, n, n_docs, tf * idf AS w FROM per_text JOIN kept USING (term)),
       norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY id)
       SELECT term, any_value(n) AS n, any_value(n_docs) AS n_docs, round(sum(w / norm), 6) AS tfidf
-      FROM weighted JOIN norms USING (id) GROUP BY term ORDER BY tfidf DESC, term LIMIT 100""",
+      FROM weighted JOIN norms USING (id) GROUP BY term""",
     "stream_export_rows": f"""{EXPORT} SELECT id, site, status, {HAS_SALARY}, {DAY} AS ingestion_date FROM exported""",
     "stream_enrich_update": UPDATED_ROWS,
 }

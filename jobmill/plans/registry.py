@@ -293,13 +293,13 @@ def lemmatize(spark, folder):
     tokens = rows.select(
         "id", "idioma_det", nlp.content_tokens(F.col("descripcion_limpia"), F.col("idioma_det")).alias("tokens")
     )
-    done = nlp.lemmatize(tokens, "id", "tokens", "idioma_det", *I.plural_lemmas(rows))
+    done = nlp.lemmatize(tokens, "id", "tokens", "idioma_det", I.plural_lemmas(rows))
     return done.select("id", N.joined(F.col("tokens")).alias("lemmas"))
 
 
 def _nlp(spark, folder):
     rows = I.labelled_corpus(spark, folder)
-    return nlp.add_nlp_columns(rows, *I.plural_lemmas(rows))
+    return nlp.add_nlp_columns(rows, I.plural_lemmas(rows))
 
 
 @query
@@ -595,8 +595,7 @@ def bow_top_terms(spark, folder):
 
 @query
 def ngram_counts(spark, folder):
-    counts = features.term_counts(_token_rows(spark, folder), "tokens", 2, 3)
-    return features.top_terms(counts, 1000)
+    return features.term_counts(_token_rows(spark, folder), "tokens", 2, 3)
 
 
 @query

@@ -49,13 +49,13 @@ JOIN_SQL = "LEFT JOIN events e ON e.event_id = d.doc_id"
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input of fewer splits than the session has cores.
+    """Spread an input that is a single split, so at most ``maxPartitionBytes`` long.
 
-    A small file is one split and would keep one core busy with all text work. Any
-    input with enough splits is returned as it is: nothing large is ever moved.
+    One split would keep one core busy with all text work. An input of two splits or more
+    is returned as it is, whatever the number of cores, so no larger table is moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() == 1 else df
 
 
 KEYS = {"documents": "doc_id", "pages": "page_id"}

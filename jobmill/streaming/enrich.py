@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jobmill.operators.enrich import apply_updates
+from jobmill.operators.load import first_positions, rows_at, with_tie
 
 BATCH = "batch_id"
 LOG = f"job_url string, description string, salary_raw string, visited_at timestamp_ntz, {BATCH} long"
@@ -29,12 +30,12 @@ def start_log(updates: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 def latest_results(spark: SparkSession, path: str) -> DataFrame:
     """The first result per link that ended its pending state: later visits find nothing to do.
 
-    Only links and positions are grouped; texts join back on the unique position.
+    Only links and positions (batch, time, then a hash of the result; no time comes first)
+    are grouped; texts meet them by null-safe equality, and equal results count once.
     """
-    log = spark.read.schema(LOG).parquet(path)
-    first = log.groupBy("job_url").agg(F.min(F.struct(BATCH, "visited_at")).alias("_first"))
-    first = first.select("job_url", F.col(f"_first.{BATCH}").alias(BATCH), F.col("_first.visited_at").alias("visited_at"))
-    kept = log.join(first, ["job_url", BATCH, "visited_at"], "left_semi")
+    log = with_tie(spark.read.schema(LOG).parquet(path).where(F.col("job_url").isNotNull()))
+    order = [BATCH, "visited_at"]
+    kept = rows_at(log, first_positions(log, "job_url", order), "job_url", order)
     return kept.select("job_url", "description", "salary_raw")
 
 

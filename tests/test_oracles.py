@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from jobmill.plans.oracles import ORACLES
+from jobmill.plans.registry import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 MODELS = {"lda_topics", "kmeans_cosine"}
@@ -22,15 +24,15 @@ def plain(rows, order):
     return sorted(fixed, key=lambda r: tuple((x is not None, str(x)) for x in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, folder, name):
-    df = entry.queries()[name](spark, folder)
+    df = QUERIES[name](spark, folder)
     columns = sorted(df.columns)
     got = plain([tuple(r) for r in df.select(*columns).collect()], range(len(columns)))
     if name in MODELS:
         assert got
         return
-    cursor = duck.execute(entry.oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     names = [c[0] for c in cursor.description]
     assert sorted(names) == columns
     assert got == plain(cursor.fetchall(), [names.index(c) for c in columns])
@@ -38,4 +40,5 @@ def test_query(spark, duck, folder, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
-    assert set(entry.oracle_sql()) == set(entry.queries()) - MODELS
+    assert set(ORACLES) == set(QUERIES) - MODELS
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
