@@ -27,8 +27,8 @@ def sainte_lague(votes: DataFrame, group: Sequence[str], key: str, vote: str, se
     or seats get none.
     """
     of = W.partitionBy(*group)
-    share = F.col(vote) * F.col(seats) / F.col("_votes")
-    slack = F.col("_rows") / (2 * F.col(seats))
+    share = F.try_divide(F.col(vote) * F.col(seats), F.col("_votes"))
+    slack = F.try_divide(F.col("_rows"), 2 * F.col(seats))
     ranged = votes.withColumns(
         {"_votes": F.sum(vote).over(of).cast("double"), "_rows": F.count(F.lit(1)).over(of)}
     ).withColumns(
@@ -88,7 +88,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFr
             "_open": F.sum(F.when(F.col("_stops"), 0).otherwise(F.col("weight"))).over(everything),
         }
     )
-    share = (F.col("weight") * (3 * F.col("total") - 2 * F.col("_spent"))).cast("double") / (2 * F.col("_open"))
+    words = (F.col("weight") * (3 * F.col("total") - 2 * F.col("_spent"))).cast("double")
+    share = F.try_divide(words, 2 * F.col("_open"))
     target = F.when(F.col("_stops"), cap.cast("double")).otherwise(share)
     return shared.select("source", "source_size", "n_docs", "src", "weight", target.alias("target"), "total")
 
@@ -146,13 +147,14 @@ def mix(
     end = F.sum("size").over(ring.rowsBetween(W.unboundedPreceding, 0))
     z = F.col("shard_size")
     words = F.least(F.col("quota") * block, 2 * z)
-    blocks = F.ceil(z / block)
+    turn = F.greatest(z, F.lit(1))
+    blocks = F.ceil(turn / block)
     first = F.pmod(hash_number(F.lit(seed), F.lit("start"), F.col("src"), F.col("shard")), blocks) * block
     run = placed.withColumn("_order", order).withColumns(
         {
             "_end": end,
-            "_turns": F.floor(words / z),
-            "_rest": F.pmod(words, z),
+            "_turns": F.floor(words / turn),
+            "_rest": F.pmod(words, turn),
             "_first": first,
         }
     )

@@ -31,10 +31,11 @@ LEET_COST, DROP_COST, GAP_COST, RUN_COST, DOUBLE_COST = 1.0, 7.0, 0.3, 0.3, 0.7
 #: Characters of one obfuscated word.
 LONGEST = 48
 # One word with signs among its letters, letters one by one, or a letter three times in a row.
+# Every alternative begins at a word's first sign only, so long runs are looked at once.
 NOISY = re.compile(
     r"(?<![^\W_])(?:[a-z][ .\-_*]){3,%d}[a-z](?![^\W_])"
-    r"|[^\W\d_]*[0-9@$!|+(][^\W_@$!|+(]*[^\W\d_][0-9@$!|+(\w]*"
-    r"|[^\W\d_]*([^\W\d_])\1\1\w*" % LONGEST
+    r"|(?<![\w@$!|+(])[^\W\d_]*+[0-9@$!|+(]++[^\W\d_][@$!|+(\w]*+"
+    r"|(?<!\w)[^\W\d_]*?([^\W\d_])\1\1\w*+" % LONGEST
 )
 ALPHABET = 64
 

@@ -112,6 +112,8 @@ def estimate(patterns: np.ndarray, counts: np.ndarray) -> np.ndarray:
     are independent given the class. It begins at the share of good votes. Work and memory
     depend on the number of patterns, at most 3 to the number of labellers.
     """
+    if not len(counts):
+        return np.zeros(0)
     one = np.eye(3)[patterns]
     cast = (patterns != NONE).sum(1)
     good = ((patterns == GOOD).sum(1) + 1) / (cast + (patterns == BAD).sum(1) + 2)
