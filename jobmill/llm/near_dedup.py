@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmill.llm.common import attach, drop, store
@@ -22,6 +23,8 @@ SHINGLE = 5
 PERCENT = 85
 STAR_ROUNDS = 4
 PROBES = 64
+#: Longs of a set's parity bits.
+PARITY_LONGS = 16
 
 
 def shingle_set(words: np.ndarray) -> np.ndarray:
@@ -78,6 +81,26 @@ def band_keys(sign: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """One bit for each of 1,024 parts of the hashes: whether the part holds an odd number of them.
+
+    Every hash that only one of two sets has changes one bit, so the bits in which two sets
+    differ are never more than the hashes in which they differ.
+    """
+    parts = PARITY_LONGS * 64
+    odd = np.bincount((hashes % np.uint64(parts)).astype(np.int64), minlength=parts) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_link(size: Column, bits: str, other_size: Column, other_bits: str) -> Column:
+    """Whether two sets can be similar enough: a link is ``(100 - PERCENT) * sizes >= (100 + PERCENT)
+    * differing``, and the differing bits are a lower bound of the differing hashes."""
+    differ = reduce(
+        operator.add, (F.bit_count(F.col(bits)[i].bitwiseXOR(F.col(other_bits)[i])) for i in range(PARITY_LONGS))
+    )
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * (size + other_size)
+
+
 def sketch_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for at in range(0, len(batch), 256):
@@ -98,14 +121,16 @@ def set_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for at in range(0, len(batch), 256):
             part = batch.iloc[at : at + 256]
-            sets = [shingle_set(words).view(np.int64) for words in word_hashes(part["text"])]
-            yield pd.DataFrame({"doc_id": part["doc_id"].array, "shingles": sets})
+            sets = [shingle_set(words) for words in word_hashes(part["text"])]
+            bits = [parity(x) for x in sets]
+            sets = [x.view(np.int64) for x in sets]
+            yield pd.DataFrame({"doc_id": part["doc_id"].array, "shingles": sets, "bits": bits})
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose whole shingle sets are similar enough."""
-    left = sets.withColumnsRenamed({"doc_id": "a", "shingles": "_left"})
-    right = sets.withColumnsRenamed({"doc_id": "b", "shingles": "_right"})
+    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("_left"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("_right"))
     shared = F.size(F.array_intersect("_left", "_right"))
     union = F.size("_left") + F.size("_right") - shared
     both = pairs.join(left, "a").join(right, "b")
@@ -142,15 +167,17 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def own_parts(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``doc_id, own, shared``: how many shingles of a document no other of ``docs`` has, and the rest."""
+    """``doc_id, own, shared, bits``: how many shingles of a document no other of ``docs`` has, the
+    rest, and the parity bits of all."""
     some = sets.join(docs, "doc_id", "left_semi")
     counted = some.select("doc_id", F.explode("shingles").alias("_s")).groupBy("_s").agg(
         F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("doc_id")
     )
     own = counted.where("_n = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
-    sizes = some.select("doc_id", F.size("shingles").alias("_size"))
+    sizes = some.select("doc_id", F.size("shingles").alias("_size"), "bits")
+    number = F.coalesce("own", F.lit(0))
     return sizes.join(own, "doc_id", "left").select(
-        "doc_id", F.coalesce("own", F.lit(0)).alias("own"), (F.col("_size") - F.coalesce("own", F.lit(0))).alias("shared")
+        "doc_id", number.alias("own"), (F.col("_size") - number).alias("shared"), "bits"
     )
 
 
@@ -168,7 +195,7 @@ def linked(members: DataFrame, sets: DataFrame) -> DataFrame:
     document shares with no other still unsettled one lie outside every intersection: a link
     needs ``own_a + own_b <= 15/85 * min(shared_a, shared_b)``. So two documents that are
     both *heavy*, ``own > 15/170 * shared``, cannot be linked, and only pairs with a light
-    document are made.
+    document are looked at. The join makes those of them alone that the parity bits leave open.
     """
     spark = members.sparkSession
     links = spark.createDataFrame([], "a long, b long")
@@ -192,20 +219,21 @@ def linked(members: DataFrame, sets: DataFrame) -> DataFrame:
             known = known.join(parts, "doc_id").where(PERCENT * F.col("own") <= rest * F.col("shared"))
             known = known.withColumn("light", 2 * PERCENT * F.col("own") <= rest * F.col("shared"))
             known = store(known, f"unsettled{turn}")
-            centres = known.select(
-                "bucket", *[F.col(c).alias("_" + c) for c in ("label", "light", "own", "shared")], F.col("doc_id").alias("centre")
-            )
+            facts = [F.col(c).alias("_" + c) for c in ("label", "light", "own", "shared", "bits")]
+            centres = known.select("bucket", *facts, F.col("doc_id").alias("centre"))
             if turn < STAR_ROUNDS:
                 order = F.struct(~F.col("_light"), F.xxhash64(F.lit(turn), "bucket", "centre"))
                 chosen = centres.groupBy("bucket", "_label").agg(
-                    F.min_by(F.struct("centre", "_light", "_own", "_shared"), order).alias("_c")
+                    F.min_by(F.struct("centre", "_light", "_own", "_shared", "_bits"), order).alias("_c")
                 )
                 centres = chosen.select("bucket", "_label", "_c.*")
+            fit = PERCENT * (F.col("own") + F.col("_own")) <= rest * F.least("shared", "_shared")
+            size, other = F.col("own") + F.col("shared"), F.col("_own") + F.col("_shared")
+            fit = fit & (F.col("label") != F.col("_label")) & may_link(size, "bits", other, "_bits")
             stars = known.join(centres.where("_light"), "bucket").unionByName(
                 known.where("light").join(centres.where("NOT _light"), "bucket")
             )
-            fit = PERCENT * (F.col("own") + F.col("_own")) <= rest * F.least("shared", "_shared")
-            pairs = ends(stars.where((F.col("label") != F.col("_label")) & fit))
+            pairs = ends(stars.where(fit))
         pairs = store(pairs.distinct().join(tried, ["a", "b"], "left_anti"), f"pairs{turn}")
         if turn and pairs.isEmpty():
             continue
@@ -249,9 +277,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     sizes = store(sizes, "buckets")
     members = store(banded.join(sizes.select("bucket"), "bucket", "left_semi"), "members")
     wanted = members.select("doc_id").distinct()
-    sets = store(
-        named.join(wanted, "doc_id", "left_semi").mapInPandas(set_batches, "doc_id long, shingles array<long>"), "sets"
-    )
+    schema = "doc_id long, shingles array<long>, bits array<long>"
+    sets = store(named.join(wanted, "doc_id", "left_semi").mapInPandas(set_batches, schema), "sets")
     if sets.count() > sets.select("doc_id").distinct().count():
         sets = store(sets.distinct(), "sets")  # rows that repeat an id and its text
     links = linked(members, sets)

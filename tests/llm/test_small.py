@@ -104,6 +104,16 @@ def test_near_groups(spark, docs, none):
     assert near_dedup.near_groups(none).count() == 0
 
 
+def test_parity_never_exceeds_the_difference():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    for n in (0, 1, 40, 700, 3000):
+        other = np.append(base[n:], rng.integers(0, 2**63, n // 2).astype(np.uint64))
+        differ = (near_dedup.parity(base) ^ near_dedup.parity(other)).view(np.uint64)
+        found = sum(int(x).bit_count() for x in differ)
+        assert found <= n + n // 2 and (found == 0) == (n == 0)
+
+
 def test_sainte_lague(spark):
     votes = [(1, k, v) for k, v in enumerate([53, 24, 23, 0])] + [(2, 0, 0)]
     df = spark.createDataFrame(votes, "g int, k int, v long").withColumn("seats", F.lit(7).cast("long"))
