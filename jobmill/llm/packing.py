@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import bisect
+import gc
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
 
@@ -26,6 +28,7 @@ ISLANDS, MIGRATIONS = 3, 2
 POPULATION, GENERATIONS = 4, 6
 #: Words whose ids a worker remembers, some 200 MB.
 REMEMBERED = 1_000_000
+WORDS_AT_ONCE = 4096
 MARK = re.compile(rb"(?<=[a-z0-9])([.,])(?=[\x20\x09-\x0D]|$)")
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
@@ -41,17 +44,17 @@ BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in
 def word_ids(coder, words: list[bytes]) -> list[list[int]]:
     """Ids of runs without blanks. A run of plain letters is one piece, so the vocabulary's merges
     alone are asked; other runs go through all steps of the tokenizer."""
-    merges, out, rest = coder.model, [], []
+    merges, out, rest = coder.model.tokenize, [], []
     for i, word in enumerate(words):
         text = word.decode()
-        if not word.isalpha():
+        if not (word.isalpha() and word.islower()):
             text = text.lower()
             if not PLAIN.fullmatch(text):
                 rest.append(i)
                 out.append([])
                 continue
             text = text.encode().decode("latin-1").translate(BYTE_CHARS)
-        out.append([x.id for x in merges.tokenize(text)])
+        out.append([x.id for x in merges(text)])
     coded = coder.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False)
     for i, e in zip(rest, coded, strict=True):
         out[i] = e.ids
@@ -66,6 +69,19 @@ def tokenizer(name: str):
     return Tokenizer.from_file(public_tokenizers.path(name)), {}
 
 
+@contextmanager
+def no_cycle_search():
+    """No search for cyclic garbage inside: encoding makes none, but many objects that start it."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+@no_cycle_search()
 def encode(texts: list[str], name: str = TOKENIZER) -> list[np.ndarray]:
     """Token ids of every text, as the tokenizer gives them for the whole text.
 
@@ -78,16 +94,21 @@ def encode(texts: list[str], name: str = TOKENIZER) -> list[np.ndarray]:
     split = []
     for data in (t.encode() for t in texts):
         split.append((data if b"<|" in data else MARK.sub(rb" \1", data.lower())).split())
-    missing = {w for w in set(chain.from_iterable(split)) if w not in known}
+    every = set(chain.from_iterable(split))
+    missing = every.difference(known)
     if missing:
         if len(known) + len(missing) > REMEMBERED:
             known.clear()
-            missing = set(chain.from_iterable(split))
+            missing = every
         words = list(missing)
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            part = words[at : at + WORDS_AT_ONCE]
             coded = word_ids(coder, part)
-            known.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(part, coded, strict=True))
+            flat, first = np.fromiter(chain.from_iterable(coded), "<u4").tobytes(), 0
+            for word, ids in zip(part, coded, strict=True):
+                last = first + 4 * len(ids)
+                known[word] = flat[first:last]
+                first = last
     get = known.__getitem__
     return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
 
