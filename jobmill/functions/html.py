@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from jobmill.functions.text import strip
 
 EDGE = "\x01"
+LINK = r"""(?i)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def decode_entities(text: Column) -> Column:
@@ -17,13 +18,13 @@ def decode_entities(text: Column) -> Column:
 
     The closing semicolon may be missing when no letter or digit follows the name.
     """
-    named = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+    named = F.create_map(*[F.lit(x) for name, code in {**name2codepoint, "apos": 39}.items() for x in (name, chr(code))])
     pieces = F.split(text, "&")
 
     def decode(piece: Column) -> Column:
         name = F.regexp_extract(piece, r"^[A-Za-z][A-Za-z0-9]*", 0)
-        digits = F.regexp_extract(piece, r"^#([0-9]{1,7})(?![0-9])", 1)
-        hexes = F.regexp_extract(piece, r"^#[xX]([0-9A-Fa-f]{1,6})(?![0-9A-Fa-f])", 1)
+        digits = F.regexp_extract(piece, r"^#0*([0-9]{1,7})(?![0-9])", 1)
+        hexes = F.regexp_extract(piece, r"^#[xX]0*([0-9A-Fa-f]{1,6})(?![0-9A-Fa-f])", 1)
         number = F.when(digits != "", F.hex(digits.try_cast("long"))).when(hexes != "", hexes)
         valid = F.conv(number, 16, 10).try_cast("long").between(1, 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32")
@@ -58,5 +59,6 @@ def inner_text(html: Column, tag: str) -> Column:
 
 
 def link_targets(html: Column) -> Column:
-    """``href`` values of all anchors, in page order."""
-    return F.regexp_extract_all(html, F.lit(r"(?i)<a\b[^>]*?\shref=\"([^\"]*)\""), F.lit(1))
+    """``href`` values of all anchors, in page order: in double, single or no quotes."""
+    found = F.regexp_extract_all(html, F.lit(LINK), F.lit(1))
+    return F.transform(found, lambda v: F.when(v.rlike("^[\"']"), F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v))

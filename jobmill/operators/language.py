@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -54,8 +55,12 @@ def profile(labelled: DataFrame, text: str, label: str, languages: Sequence[str]
     )
 
 
+@lru_cache(maxsize=1)
 def letter_numbers() -> np.ndarray:
-    """Position of every character in ``LETTERS``, counted from 1 and blind to case; 0 otherwise."""
+    """Position of every character in ``LETTERS``, counted from 1 and blind to case; 0 otherwise.
+
+    A worker makes the table once.
+    """
     place = {letter: i for i, letter in enumerate(LETTERS, 1)}
     return np.array([place.get(chr(code).lower(), 0) for code in range(0x10000)], dtype=np.int32)
 

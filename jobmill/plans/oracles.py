@@ -309,7 +309,8 @@ ORACLES: dict[str, str] = {
     "absolute_url": r"""SELECT page_id, cast(pos AS INTEGER) AS pos, CASE WHEN starts_with(href, '/') THEN base || href ELSE href END AS link
       FROM (SELECT page_id, base, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS pos FROM (
         SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS base,
-          regexp_extract_all(html, '(?i)<a\b[^>]*?\shref="([^"]*)"', 1) AS hrefs FROM pages))""",
+          [CASE WHEN left(v, 1) IN ('"', '''') THEN v[2:length(v) - 1] ELSE v END FOR v IN
+            regexp_extract_all(html, '(?i)<a\b[^>]*?\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1)] AS hrefs FROM pages))""",
     "crawl_frontier": f"""{JOBS} SELECT search_term, country_code, cast(page AS INTEGER) AS page,
       CASE country_code WHEN 'CO' THEN 'COP' WHEN 'PE' THEN 'PEN' ELSE 'MXN' END AS currency,
       'https://' || CASE country_code WHEN 'CO' THEN 'co' WHEN 'PE' THEN 'pe' ELSE 'mx' END
@@ -461,7 +462,8 @@ ORACLES: dict[str, str] = {
     "page_text": f"SELECT page_id, {text_of('html', ' ')} AS page_text FROM pages",
     "page_fields": f"""SELECT page_id, {text_of("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)", " ")} AS title,
       {text_of("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)", " ")} AS heading,
-      array_to_string(regexp_extract_all(html, '(?i)<a\\b[^>]*?\\shref="([^"]*)"', 1), ' ') AS links FROM pages""",
+      array_to_string([CASE WHEN left(v, 1) IN ('"', '''') THEN v[2:length(v) - 1] ELSE v END FOR v IN
+        regexp_extract_all(html, '(?i)<a\\b[^>]*?\\shref\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1)], ' ') AS links FROM pages""",
     "term_frequencies": f"{counted_terms(1, 1)} SELECT * FROM counts",
     "bow_top_terms": f"{counted_terms(1, 1)} SELECT * FROM counts ORDER BY n DESC, term LIMIT 3000",
     "ngram_counts": f"{counted_terms(2, 3)} SELECT * FROM counts",
