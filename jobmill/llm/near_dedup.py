@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from jobmill.llm.common import attach, drop, store
 from jobmill.llm.hashing import mix64, word_hashes
 
-#: 48 bands of 8 bins: a pair at 0.85 shares no band with probability 2e-7, a pair at 0.5
-#: shares one with probability 0.17, a pair at 0.3 with 0.003.
-BANDS, ROWS = 48, 8
-BINS = BANDS * ROWS
 SHINGLE = 5
-#: Links have ``100 * shared >= PERCENT * union``.
-PERCENT = 85
+#: Links have ``100 * shared >= percent * union``: of the query, and of the pipeline's stage.
+PERCENT, STAGE_PERCENT = 85, 80
+#: Bands and bins of each for a threshold. 48 bands of 8: a pair at 0.85 shares no band with
+#: probability 2e-7, a pair at 0.5 shares one with probability 0.17, a pair at 0.3 with 0.003.
+#: 66 bands of 7: a pair at 0.8 shares none with probability 2e-7, a pair at 0.5 one with 0.40.
+BANDS = {85: (48, 8), 80: (66, 7)}
 STAR_ROUNDS = 4
 PROBES = 64
 #: Longs of a set's parity bits.
@@ -39,27 +39,27 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
     return np.unique(mixed)
 
 
-@lru_cache(maxsize=1)
-def probes() -> np.ndarray:
-    """For every bin the bins it tries, in order, when it is empty."""
+@lru_cache(maxsize=2)
+def probes(n: int) -> np.ndarray:
+    """For every one of ``n`` bins the bins it tries, in order, when it is empty."""
     rng = np.random.default_rng(20)
-    return rng.integers(0, BINS, (PROBES, BINS))
+    return rng.integers(0, n, (PROBES, n))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def signature(hashes: np.ndarray, n: int) -> np.ndarray:
     """One-permutation MinHash: the hash's upper half chooses the bin, the smallest hash of a bin stays.
 
     An empty bin copies the first filled bin of its own list of random bins, the same list
     for every text (optimal densification); if the whole list is empty, the next filled bin.
     """
-    bins = ((hashes >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)
+    bins = ((hashes >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
     filled, first = np.unique(bins.astype(np.int64), return_index=True)
-    out = np.zeros(BINS, np.uint64)
-    full = np.zeros(BINS, bool)
+    out = np.zeros(n, np.uint64)
+    full = np.zeros(n, bool)
     out[filled] = hashes[first]
     full[filled] = True
     empty = np.flatnonzero(~full)
-    table = probes()
+    table = probes(n)
     for t in range(PROBES):
         if not len(empty):
             return out
@@ -73,10 +73,10 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sign: np.ndarray) -> np.ndarray:
-    rows = sign.reshape(BANDS, ROWS)
-    key = np.arange(BANDS, dtype=np.uint64)
-    for i in range(ROWS):
+def band_keys(sign: np.ndarray, width: int) -> np.ndarray:
+    rows = sign.reshape(-1, width)
+    key = np.arange(len(rows), dtype=np.uint64)
+    for i in range(width):
         key = mix64(key ^ rows[:, i])
     return key.view(np.int64)
 
@@ -92,29 +92,36 @@ def parity(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def may_link(size: Column, bits: str, other_size: Column, other_bits: str) -> Column:
-    """Whether two sets can be similar enough: a link is ``(100 - PERCENT) * sizes >= (100 + PERCENT)
+def may_link(size: Column, bits: str, other_size: Column, other_bits: str, percent: int) -> Column:
+    """Whether two sets can be similar enough: a link is ``(100 - percent) * sizes >= (100 + percent)
     * differing``, and the differing bits are a lower bound of the differing hashes."""
     differ = reduce(
         operator.add, (F.bit_count(F.col(bits)[i].bitwiseXOR(F.col(other_bits)[i])) for i in range(PARITY_LONGS))
     )
-    return (100 + PERCENT) * differ <= (100 - PERCENT) * (size + other_size)
+    return (100 + percent) * differ <= (100 - percent) * (size + other_size)
 
 
-def sketch_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for at in range(0, len(batch), 256):
-            part = batch.iloc[at : at + 256]
-            rows = []
-            for words in word_hashes(part["text"]):
-                found = shingle_set(words)
-                if len(found):
-                    a, b = mix64(found).sum(dtype=np.uint64), mix64(~found).sum(dtype=np.uint64)
-                    rows.append((len(found), a.view(np.int64), b.view(np.int64), band_keys(signature(found))))
-                else:
-                    rows.append((0, 0, 0, None))
-            n, a, b, bands = zip(*rows, strict=True)
-            yield pd.DataFrame({"doc_id": part["doc_id"].array, "n_shingles": n, "set_a": a, "set_b": b, "bands": bands})
+def sketch_batches(percent: int):
+    """A function that sketches texts with the bands of a threshold."""
+    bands, width = BANDS[percent]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.iloc[at : at + 256]
+                rows = []
+                for words in word_hashes(part["text"]):
+                    found = shingle_set(words)
+                    if len(found):
+                        a, b = mix64(found).sum(dtype=np.uint64), mix64(~found).sum(dtype=np.uint64)
+                        keys = band_keys(signature(found, bands * width), width)
+                        rows.append((len(found), a.view(np.int64), b.view(np.int64), keys))
+                    else:
+                        rows.append((0, 0, 0, None))
+                n, a, b, keys = zip(*rows, strict=True)
+                yield pd.DataFrame({"doc_id": part["doc_id"].array, "n_shingles": n, "set_a": a, "set_b": b, "bands": keys})
+
+    return run
 
 
 def set_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -127,7 +134,7 @@ def set_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"doc_id": part["doc_id"].array, "shingles": sets, "bits": bits})
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose whole shingle sets are similar enough."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("_left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("_right"))
@@ -136,7 +143,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = pairs.join(left, "a").join(right, "b")
     # Sets of too different sizes need no look.
     small, large = F.least(F.size("_left"), F.size("_right")), F.greatest(F.size("_left"), F.size("_right"))
-    return both.where((100 * small >= PERCENT * large) & (100 * shared >= PERCENT * union)).select("a", "b")
+    return both.where((100 * small >= percent * large) & (100 * shared >= percent * union)).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -181,7 +188,7 @@ def own_parts(docs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def linked(members: DataFrame, sets: DataFrame) -> DataFrame:
+def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that join all documents of a component, as a table ``a, b``.
 
     ``members`` has the rows ``bucket, doc_id`` of buckets with two documents or more. First a
@@ -193,15 +200,15 @@ def linked(members: DataFrame, sets: DataFrame) -> DataFrame:
 
     Many changed copies of one text may meet in a bucket without a link. Shingles that a
     document shares with no other still unsettled one lie outside every intersection: a link
-    needs ``own_a + own_b <= 15/85 * min(shared_a, shared_b)``. So two documents that are
-    both *heavy*, ``own > 15/170 * shared``, cannot be linked, and only pairs with a light
-    document are looked at. The join makes those of them alone that the parity bits leave open.
+    needs ``own_a + own_b <= rest / percent * min(shared_a, shared_b)`` with ``rest = 100 -
+    percent``. So two documents that are both *heavy*, ``own > rest / (2 * percent) * shared``,
+    cannot be linked, and only pairs with a light document are looked at. The join makes those of them alone that the parity bits leave open.
     """
     spark = members.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     tried = spark.createDataFrame([], "a long, b long")
     label = members.select("doc_id", F.col("doc_id").alias("label")).distinct()
-    rest = 100 - PERCENT
+    rest = 100 - percent
 
     def ends(stars: DataFrame) -> DataFrame:
         return stars.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b"))
@@ -216,8 +223,8 @@ def linked(members: DataFrame, sets: DataFrame) -> DataFrame:
             known = known.join(span.where("_lo < _hi").select("bucket"), "bucket", "left_semi")
             if turn == 1:
                 parts = store(own_parts(known.select("doc_id").distinct(), sets), "parts")
-            known = known.join(parts, "doc_id").where(PERCENT * F.col("own") <= rest * F.col("shared"))
-            known = known.withColumn("light", 2 * PERCENT * F.col("own") <= rest * F.col("shared"))
+            known = known.join(parts, "doc_id").where(percent * F.col("own") <= rest * F.col("shared"))
+            known = known.withColumn("light", 2 * percent * F.col("own") <= rest * F.col("shared"))
             known = store(known, f"unsettled{turn}")
             facts = [F.col(c).alias("_" + c) for c in ("label", "light", "own", "shared", "bits")]
             centres = known.select("bucket", *facts, F.col("doc_id").alias("centre"))
@@ -227,9 +234,9 @@ def linked(members: DataFrame, sets: DataFrame) -> DataFrame:
                     F.min_by(F.struct("centre", "_light", "_own", "_shared", "_bits"), order).alias("_c")
                 )
                 centres = chosen.select("bucket", "_label", "_c.*")
-            fit = PERCENT * (F.col("own") + F.col("_own")) <= rest * F.least("shared", "_shared")
+            fit = percent * (F.col("own") + F.col("_own")) <= rest * F.least("shared", "_shared")
             size, other = F.col("own") + F.col("shared"), F.col("_own") + F.col("_shared")
-            fit = fit & (F.col("label") != F.col("_label")) & may_link(size, "bits", other, "_bits")
+            fit = fit & (F.col("label") != F.col("_label")) & may_link(size, "bits", other, "_bits", percent)
             stars = known.join(centres.where("_light"), "bucket").unionByName(
                 known.where("light").join(centres.where("NOT _light"), "bucket")
             )
@@ -237,7 +244,7 @@ def linked(members: DataFrame, sets: DataFrame) -> DataFrame:
         pairs = store(pairs.distinct().join(tried, ["a", "b"], "left_anti"), f"pairs{turn}")
         if turn and pairs.isEmpty():
             continue
-        found = store(confirmed(pairs, sets), f"links{turn}")
+        found = store(confirmed(pairs, sets, percent), f"links{turn}")
         tried = tried.unionByName(pairs)
         if not found.isEmpty():
             links = links.unionByName(found)
@@ -247,10 +254,10 @@ def linked(members: DataFrame, sets: DataFrame) -> DataFrame:
     return links
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
+def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
-    Documents are linked when their sets of five-word shingles share 85 % of the union;
+    Documents are linked when their sets of five-word shingles share ``percent`` % of the union;
     ``component_id`` is the smallest id reachable over links, and that document is kept.
     Null and empty texts have no shingles and stand alone. Rows without an id, or with an
     id that repeats, are treated like others; of rows that share an id all get its fate.
@@ -262,7 +269,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """
     named = docs.select("doc_id", "text")
     schema = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
-    sketches = store(named.mapInPandas(sketch_batches, schema), "sketches")
+    sketches = store(named.mapInPandas(sketch_batches(percent), schema), "sketches")
     total = sketches.count()
     key = ["n_shingles", "set_a", "set_b"]
     classes = store(
@@ -281,7 +288,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     sets = store(named.join(wanted, "doc_id", "left_semi").mapInPandas(set_batches, schema), "sets")
     if sets.count() > sets.select("doc_id").distinct().count():
         sets = store(sets.distinct(), "sets")  # rows that repeat an id and its text
-    links = linked(members, sets)
+    links = linked(members, sets, percent)
     label = components(links)
     final = classes.join(label.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
         *key, "copies", F.coalesce("label", "rep").alias("component_id")
@@ -295,7 +302,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return rows.unionByName(alone).withColumn("kept", kept)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
     """The documents that stay, with all their columns; only ids meet the documents."""
-    kept = near_groups(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    kept = near_groups(docs, percent).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")

@@ -104,6 +104,37 @@ def test_near_groups(spark, docs, none):
     assert near_dedup.near_groups(none).count() == 0
 
 
+def shingles(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+def test_near_stage_links_from_080(spark):
+    texts = []
+    for group in range(40):
+        words = [f"g{group}w{i}" for i in range(204)]
+        texts.append(" ".join(words))
+        # Each changed word far from others touches five shingles of 200.
+        for changed in (group % 3 + 3, group % 4 + 4):
+            copy = list(words)
+            for c in range(changed):
+                copy[10 + 20 * c] = f"new{group}x{changed}x{c}"
+            texts.append(" ".join(copy))
+    sets = [shingles(t) for t in texts]
+    label, between = list(range(len(texts))), 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            shared, union = len(a & b), len(a | b)
+            if 100 * shared >= 80 * union:
+                between += 100 * shared < 85 * union
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    assert between > 20 and len(set(label)) > 40
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_dedup.keep_one(df).collect()) == sorted(set(label))
+    with_85 = near_dedup.near_groups(df).where("kept").count()
+    assert with_85 > len(set(label))
+
+
 def test_parity_never_exceeds_the_difference():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 3000).astype(np.uint64)
