@@ -29,6 +29,11 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """A stored copy of ``df`` with ``_row``, a number that every row keeps whenever it is read."""
+    return store(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete stored tables that no later step reads."""
     for df in tables:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from jobmill.llm.common import BLANKS, attach, drop, places, store
+from jobmill.llm.common import BLANKS, attach, drop, numbered, places, store
 
 BLOCK_CHARS = 4096
 #: Blocks sorted in one task; a task of blocks of 4,096 characters then sorts some 80 MB.
@@ -44,9 +44,12 @@ def sort_names(df: DataFrame, key: Column, hashed: Column, spread: Column, purpo
     return out.withColumn("name", F.coalesce("_one", "name")).drop("_one", "_rep", "_hot")
 
 
-def identities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK_CHARS) -> DataFrame:
+def identities(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK_CHARS, row: str | None = None
+) -> DataFrame:
     """A stored table ``row, doc_id, text_sha256, level, name``: texts are equal after
-    normalisation exactly where ``(level, name)`` is.
+    normalisation exactly where ``(level, name)`` is. Rows are numbered unless ``row`` names
+    a column that numbers them.
 
     Each text is cut into blocks of ``block`` characters, which get integer names; then the
     names of adjacent pairs get a name, again and again, until one is left. A text without
@@ -55,7 +58,9 @@ def identities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bloc
     """
     whole = normalised(F.col(text))
     cut = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), whole.alias("_text")
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
+        F.col(doc_id).alias("doc_id"),
+        whole.alias("_text"),
     ).select(
         "row",
         "doc_id",
@@ -113,7 +118,14 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bl
     group has one (``keep_id`` is then null). Null and empty texts are equal. Other columns
     take no part. An empty table gives no rows.
     """
-    named = identities(docs, text, doc_id, block)
+    return grouped_rows(docs, text, doc_id, block).drop("row")
+
+
+def grouped_rows(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK_CHARS, row: str | None = None
+) -> DataFrame:
+    """The rows of ``exact_groups`` with their number, ``row``."""
+    named = identities(docs, text, doc_id, block, row)
     total = named.count()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id"), F.col("row").alias("_row")))
     groups = store(
@@ -121,6 +133,7 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bl
     )
     rows = attach(named, groups, ["level", "name"], "group_size", total)
     return rows.select(
+        "row",
         "doc_id",
         F.col("_first.doc_id").alias("keep_id"),
         F.col("group_size").cast("long").alias("group_size"),
@@ -130,10 +143,10 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bl
 
 
 def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The documents that stay, with all their columns.
+    """The documents that stay, with all their columns: exactly the rows that ``exact_groups`` keeps.
 
-    Only ids meet the documents. Rows that share an id share its fate: an id stays if one of
-    its rows does.
+    The rows are stored with a number, and only numbers meet the documents.
     """
-    groups = exact_groups(docs, text, doc_id).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(groups, F.col(doc_id).eqNullSafe(F.col("_kept_id")), "left_semi")
+    stored = numbered(docs)
+    kept = grouped_rows(stored, text, doc_id, row="_row").where("kept").select(F.col("row").alias("_row"))
+    return stored.join(kept, "_row", "left_semi").select(*docs.columns)

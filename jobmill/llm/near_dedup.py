@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobmill.llm.common import attach, drop, store
+from jobmill.llm.common import attach, drop, numbered, store
 from jobmill.llm.hashing import mix64, word_hashes
 
 SHINGLE = 5
@@ -303,6 +303,16 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
-    """The documents that stay, with all their columns; only ids meet the documents."""
-    kept = near_groups(docs, percent).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The documents that stay, with all their columns: one row of every group of linked texts.
+
+    The rows are stored with a number, which stands for the id while groups are made. Of a
+    group the row with the smallest id stays, one without an id only where no row has one.
+    Rows without shingles stand alone and stay. Only numbers and ids meet the documents.
+    """
+    stored = numbered(docs)
+    groups = near_groups(stored.select(F.col("_row").alias("doc_id"), "text"), percent).select(
+        F.col("doc_id").alias("_row"), "component_id"
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id"), F.col("_row")))
+    kept = groups.join(stored.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first.alias("_first"))
+    return stored.join(kept.select("_first._row"), "_row", "left_semi").select(*docs.columns)

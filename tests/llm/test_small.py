@@ -135,6 +135,20 @@ def test_near_stage_links_from_080(spark):
     assert with_85 > len(set(label))
 
 
+def test_stages_keep_single_rows(spark):
+    own = " ".join(f"own{i}" for i in range(40))
+    other = " ".join(f"other{i}" for i in range(40))
+    data = [(7, own), (7, own), (7, other), (9, other), (None, own), (None, "alone"), (None, "alone"), (3, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+
+    def found(kept):
+        return sorted(map(str, map(tuple, kept.collect())))
+
+    want = sorted(map(str, [(7, own), (7, other), (None, "alone"), (3, None)]))
+    assert found(exact_dedup.keep_first(df)) == want
+    assert found(near_dedup.keep_one(df)) == want
+
+
 def test_parity_never_exceeds_the_difference():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 3000).astype(np.uint64)
