@@ -26,16 +26,21 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c",
 }
 SEPARATORS = " .-_*,'"
-#: Costs (negative log chances) of the channel.
+# Signs that also part words, as punctuation does.
+PUNCTUATION = "!|+("
+#: Costs (negative log chances) of the channel. A gap costs once for each sign of it.
 LEET_COST, DROP_COST, GAP_COST, RUN_COST, DOUBLE_COST = 1.0, 7.0, 0.3, 0.3, 0.7
-#: Characters of one obfuscated word.
+BREAK_COST, KEEP_COST, PAIR_COST = 0.7, 5.0, 1.5
+#: Characters of a reading that a worker remembers.
 LONGEST = 48
-# One word with signs among its letters, letters one by one, or a letter three times in a row.
-# Every alternative begins at a word's first sign only, so long runs are looked at once.
+# What the lattice has more than one reading of: parts of one or two characters with any
+# separators between, words with signs among, before or after letters, and words with a letter
+# twice or more in a row. Every alternative begins at a word's first sign only and gives nothing
+# back, so long runs are looked at once.
 NOISY = re.compile(
-    r"(?<![^\W_])(?:[a-z][ .\-_*]){3,%d}[a-z](?![^\W_])"
-    r"|(?<![\w@$!|+(])[^\W\d_]*+[0-9@$!|+(]++[^\W\d_][@$!|+(\w]*+"
-    r"|(?<!\w)[^\W\d_]*?([^\W\d_])\1\1\w*+" % LONGEST
+    r"(?<![\w@$!|+(])[CHARS]{1,2}+(?:[ .\-_*,']++[CHARS]{1,2}+(?![CHARS])){2,}+"
+    r"|(?<![\w@$!|+(])(?:[^\W\d_]++[0-9@$!|+(]|[0-9@$!|+(]++[^\W\d_])[@$!|+(\w]*+"
+    r"|(?<!\w)[^\W\d_]*?([^\W\d_])\1\w*+".replace("CHARS", "0-9a-z\u00df-\u00f6\u00f8-\u00ff@$!|+(")
 )
 ALPHABET = 64
 
@@ -91,51 +96,76 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     for m in re.finditer(r"(.)\1*", word):
         c, n = m[1], len(m[0])
         if c in SEPARATORS:
-            out.append([("", GAP_COST)])
+            out.append([("", GAP_COST * n)])
         elif c in LEET:
             reads = [(x, LEET_COST) for x in LEET[c]]
-            out.append(reads + [(x * 2, cost) for x, cost in reads if n > 1] + [("", DROP_COST)])
+            reads += [(x * 2, cost) for x, cost in reads if n > 1]
+            plain = (" ", BREAK_COST) if c in PUNCTUATION else (c * n, KEEP_COST)
+            out.append(reads + [("", DROP_COST), plain])
         elif n == 1:
             out.append([(c, 0.0)])
         elif n == 2:
-            out.append([(c * 2, 0.0), (c, 2 * RUN_COST)])
+            out.append([(c * 2, 0.0), (c, PAIR_COST)])
         else:
             out.append([(c, RUN_COST), (c * 2, DOUBLE_COST)])
     return out
 
 
-def decode(word: str, costs: np.ndarray) -> str:
-    """The cheapest reading of a lower-case word: channel costs plus the model's."""
+@lru_cache(maxsize=1024)
+def codes(read: str) -> tuple[int, ...]:
     table = classes()
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    return tuple(int(table[ord(x)]) if ord(x) < 256 else 0 for x in read)
+
+
+def decode(word: str, costs: np.ndarray) -> str:
+    """The cheapest reading of a lower-case word: channel costs plus the model's.
+
+    A break makes the next letter a word's first. Work grows with the length of the word.
+    """
+    cost_of = costs.item
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for choices in lattice(word):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (p, q), (cost, read) in best.items():
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (p, q), (cost, path) in best.items():
             for letters_, more in choices:
                 a, b, total = p, q, cost + more
-                for x in letters_:
-                    code = int(table[ord(x)]) if ord(x) < 256 else 0
-                    total += float(costs[a, b, code])
-                    a, b = b, code
+                for code in codes(letters_):
+                    total += cost_of(a, b, code)
+                    a, b = (b, code) if code else (0, 0)
                 if (a, b) not in after or total < after[a, b][0]:
-                    after[a, b] = (total, read + letters_)
+                    after[a, b] = (total, (path, letters_) if letters_ else path)
         best = after
-    ends = ((cost + float(costs[p, q, 0]), read) for (p, q), (cost, read) in best.items())
-    return min(ends)[1]
+    path = min(((cost + cost_of(p, q, 0), i, path) for i, ((p, q), (cost, path)) in enumerate(best.items())))[2]
+    out = []
+    while path:
+        path, letters_ = path
+        out.append(letters_)
+    return "".join(reversed(out))
+
+
+def readings(word: str, costs: np.ndarray) -> str:
+    """What stands for an obfuscated word; a word without signs or separators also stays as written."""
+    out = [decode(word, costs)]
+    if word.isalpha():
+        out.append(word)
+    return " ".join(dict.fromkeys(out))
 
 
 def restored(text: str, costs: np.ndarray, known: dict[str, str]) -> str:
-    """The lower-cased text with every obfuscated word decoded."""
+    """The lower-cased text with the readings of every obfuscated word in its place."""
 
     def read(m: re.Match) -> str:
         word = m[0]
-        if len(word) > LONGEST or not any(c.isalpha() for c in word):
+        if word in known:
+            return known[word]
+        if not any(c.isalpha() for c in word):
             return word
-        if word not in known:
+        found = readings(word, costs)
+        if len(word) <= LONGEST:
             if len(known) > 100_000:
                 known.clear()
-            known[word] = decode(word, costs)
-        return known[word]
+            known[word] = found
+        return found
 
     return NOISY.sub(read, text.lower())
 
@@ -153,7 +183,7 @@ def word_features(text: str) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8)
     blank = np.append(np.flatnonzero(raw == 32), len(raw))
     length = blank[np.searchsorted(blank, start)] - start
-    up, down = tables(len(raw) + 1)
+    up, down = tables(max(len(raw), *PREFIXES) + 1)
     out = [whole]
     with np.errstate(over="ignore"):
         for n in PREFIXES:
@@ -274,14 +304,15 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = spark.sparkContext.broadcast(learn(docs, labels, costs))
 
     @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, str] = {}
-        out = np.zeros(len(texts))
-        for i, text in enumerate(texts):
-            if isinstance(text, str) and text:
-                found = shares(word_features(restored(text, costs.value, known)), *model.value)[1]
-                out[i] = found.max() if len(found) else 0.0
-        return pd.Series(out)
+        for texts in batches:
+            out = np.zeros(len(texts))
+            for i, text in enumerate(texts):
+                if isinstance(text, str) and text:
+                    found = shares(word_features(restored(text, costs.value, known)), *model.value)[1]
+                    out[i] = found.max() if len(found) else 0.0
+            yield pd.Series(out)
 
     scored = docs.select("doc_id", held_out().alias("held_out"), run("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= PREDICT_AT).cast("int"))

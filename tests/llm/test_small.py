@@ -315,6 +315,35 @@ def test_decoding(spark):
     assert toxicity.restored("A L0$ER in 1999", costs, {}) == "a loser in 1999"
 
 
+@pytest.fixture(scope="module")
+def letter_costs(spark):
+    text = "i hate you such an idiot and a loser or a moron so stupid and pathetic says nobody here at all " * 20
+    return toxicity.language_model(spark.createDataFrame([(text,)], "text string"))
+
+
+def test_every_form_enters_the_lattice(letter_costs):
+    forms = {
+        "idiot": ["1 d 1 o t", "i  d  i  o  t", "idio7", "i,d,i,o,t", "i'd'i'o't", "id-io-t", "iiddiioott"],
+        "moron": ["m 0 r o n", "mmoorroonn", "m.o.r.o.n"],
+        "loser": ["l o s 3 r", "l0$er!"],
+        "stupid": ["st-up-id", "sstuppid", "stuppid"],
+    }
+    for word, written in forms.items():
+        for form in written:
+            assert word in toxicity.restored(f"nobody {form} here", letter_costs, {}).split(), form
+    assert "worthless" in toxicity.restored("worthless", letter_costs, {}).split()
+
+
+def test_long_runs_are_decoded(letter_costs):
+    text = " ".join("pathetic" * 20_000)
+    assert toxicity.restored(text, letter_costs, {}).replace(" ", "") == "pathetic" * 20_000
+
+
+def test_features_of_short_texts(monkeypatch):
+    monkeypatch.setattr("jobmill.llm.hashing._UP", np.ones(1, np.uint64))
+    assert len(toxicity.word_features("one")) == 1
+
+
 def test_toxicity_on_held_out_rows(spark, folder):
     folder = folder.replace("sf0.001", "sf0.1")
     docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
