@@ -90,13 +90,13 @@ def language_model(docs: DataFrame) -> np.ndarray:
     return -np.log(three).astype(np.float32)
 
 
-def lattice(word: str) -> list[list[tuple[str, float]]]:
+def lattice(word: str, breaks: bool = True) -> list[list[tuple[str, float]]]:
     """For every run of one character what it can stand for, with the cost of each."""
     out = []
     for m in re.finditer(r"(.)\1*", word):
         c, n = m[1], len(m[0])
         if c in SEPARATORS:
-            out.append([("", GAP_COST * n)])
+            out.append([("", GAP_COST * n), (" ", BREAK_COST)][: 1 + breaks])
         elif c in LEET:
             reads = [(x, LEET_COST) for x in LEET[c]]
             reads += [(x * 2, cost) for x, cost in reads if n > 1]
@@ -117,14 +117,15 @@ def codes(read: str) -> tuple[int, ...]:
     return tuple(int(table[ord(x)]) if ord(x) < 256 else 0 for x in read)
 
 
-def decode(word: str, costs: np.ndarray) -> str:
+def decode(word: str, costs: np.ndarray, breaks: bool = True) -> str:
     """The cheapest reading of a lower-case word: channel costs plus the model's.
 
-    A break makes the next letter a word's first. Work grows with the length of the word.
+    A break makes the next letter a word's first; without ``breaks`` separators only join.
+    Work grows with the length of the word.
     """
     cost_of = costs.item
     best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    for choices in lattice(word):
+    for choices in lattice(word, breaks):
         after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (p, q), (cost, path) in best.items():
             for letters_, more in choices:
@@ -144,10 +145,13 @@ def decode(word: str, costs: np.ndarray) -> str:
 
 
 def readings(word: str, costs: np.ndarray) -> str:
-    """What stands for an obfuscated word; a word without signs or separators also stays as written."""
+    """What stands for an obfuscated word: a run of parts with the breaks that the model chooses
+    and as one word, a word without signs or separators also as written."""
     out = [decode(word, costs)]
     if word.isalpha():
         out.append(word)
+    elif any(c in SEPARATORS for c in word):
+        out.append(decode(word, costs, breaks=False))
     return " ".join(dict.fromkeys(out))
 
 
