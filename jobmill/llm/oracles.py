@@ -168,3 +168,18 @@ SELECT l.conv_id, l.turn, concat('call-', l.conv_id, '-', l.turn) AS call_id, l.
     '],"query":', to_json(text)::VARCHAR, ',"top":', top, '},"id":"call-', l.conv_id, '-', l.turn, '","name":"', name,
     '","result":', coalesce(to_json(content)::VARCHAR, 'null'), '}') AS canonical
 FROM linked l JOIN depth d ON d.conv_id = l.conv_id AND d.turn = l.turn"""
+
+ORACLES["op13_fill_in_middle"] = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, sha256(concat('1:', doc_id)) AS h FROM documents),
+draws AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS c2,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90
+      THEN 'plain' WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM texts),
+cuts AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b FROM draws),
+parts AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', p, '<S>', s, '<M>', m) ELSE concat('<S>', s, '<P>', p, '<M>', m) END)
+    AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts"""

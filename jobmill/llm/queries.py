@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from jobmill.llm import (
     apportion,
     exact_dedup,
+    fill_in_middle,
     near_dedup,
     packing,
     sharding,
+    token_files,
     tool_calls,
     toxicity,
     vector_search,
     warc,
     weak_quality,
+    whitening,
 )
 from jobmill.llm.common import table
 
@@ -79,3 +82,18 @@ def toxic(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_tool_calls")
 def tool_links(spark: SparkSession, folder: str) -> DataFrame:
     return tool_calls.link(*tool_calls.turn_calls(table(spark, folder, "conversations")))
+
+
+@query("op11_whitened_embeddings")
+def whitened(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query("op12_token_files")
+def token_listing(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(table(spark, folder, "documents"))
+
+
+@query("op13_fill_in_middle")
+def middle_filled(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, folder, "documents"))

@@ -20,4 +20,4 @@ def test_query(spark, folder, name):
 
 def test_all_are_registered():
     found = {n.split("_")[0] for n in QUERIES}
-    assert found == {f"op{i}" for i in range(1, 11)}
+    assert found == {f"op{i}" for i in range(1, 14)}
