@@ -12,6 +12,7 @@ import corpus_pipeline
 from jobmill.llm import (
     apportion,
     exact_dedup,
+    hashing,
     near_dedup,
     packing,
     sharding,
@@ -199,11 +200,22 @@ def test_slot_map_edits(spark):
     assert moved and set(moved) == {4}
 
 
-def test_words_encode_as_whole_texts():
-    texts = ["Hello, WORLD's  end x", "<|endoftext|> a<|StartOfText|>", "é́ 1234 ...!?", "", "\x1c y"]
-    coder, _ = packing.tokenizer(packing.TOKENIZER)
-    for text, ids in zip(texts, packing.encode(texts), strict=True):
-        assert ids.tolist() == coder.encode(text, add_special_tokens=False).ids
+def test_long_data_is_hashed_in_parts(monkeypatch):
+    rng = random.Random(4)
+    text = " ".join("x" * rng.randrange(1, 40) + str(rng.randrange(99)) for _ in range(3000)) + "\t" + "y" * 5000 + " end"
+    whole = hashing.joined_hashes(text.encode())[0]
+    monkeypatch.setattr(hashing, "CHUNK", 1000)
+    assert b"".join(hashing.pieces(text.encode())) == text.encode()
+    got = hashing.word_hashes(["a b", text, None, "", text + " z"])
+    assert [len(x) for x in got] == [2, 3002, 0, 0, 3003]
+    assert (got[1] == whole).all() and (got[4][:-1] == whole).all()
+
+
+def test_long_words_with_equal_polynomials():
+    a, b = b"a", b"b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    assert hashing.joined_hashes(a)[0][0] != hashing.joined_hashes(b)[0][0]
 
 
 def test_pack(docs, none):
@@ -312,7 +324,7 @@ def test_decoding(spark):
     costs = toxicity.language_model(spark.createDataFrame([(text,)], "text string"))
     got = {w: toxicity.decode(w, costs) for w in ("1d10t", "l0$er", "m-o-r-o-n", "stuuupid", "p@thetic")}
     assert got == {"1d10t": "idiot", "l0$er": "loser", "m-o-r-o-n": "moron", "stuuupid": "stupid", "p@thetic": "pathetic"}
-    assert toxicity.restored("A L0$ER in 1999", costs, {}) == "a loser in 1999"
+    assert toxicity.restored("A L0$ER in 1999", costs) == "a loser in 1999"
 
 
 @pytest.fixture(scope="module")
@@ -330,18 +342,18 @@ def test_every_form_enters_the_lattice(letter_costs):
     }
     for word, written in forms.items():
         for form in written:
-            assert word in toxicity.restored(f"nobody {form} here", letter_costs, {}).split(), form
-    assert "worthless" in toxicity.restored("worthless", letter_costs, {}).split()
+            assert word in toxicity.restored(f"nobody {form} here", letter_costs).split(), form
+    assert "worthless" in toxicity.restored("worthless", letter_costs).split()
 
 
 def test_long_runs_are_decoded(letter_costs):
     text = " ".join("pathetic" * 20_000)
-    assert toxicity.restored(text, letter_costs, {}).split()[:20_000] == ["pathetic"] * 20_000
+    assert toxicity.restored(text, letter_costs).split()[:20_000] == ["pathetic"] * 20_000
 
 
 def test_features_of_short_texts(monkeypatch):
     monkeypatch.setattr("jobmill.llm.hashing._UP", np.ones(1, np.uint64))
-    assert len(toxicity.word_features("one")) == 1
+    assert len(toxicity.text_features(["one"])[0]) == 1
 
 
 def test_breaks_inside_spaced_runs(letter_costs):
@@ -350,7 +362,7 @@ def test_breaks_inside_spaced_runs(letter_costs):
         ("s t u p i d m o r o n", {"stupid", "moron"}),
         ("i h a t e you", {"i", "hate", "you"}),
     ):
-        assert words <= set(toxicity.restored(text, letter_costs, {}).split()), text
+        assert words <= set(toxicity.restored(text, letter_costs).split()), text
 
 
 def test_toxicity_on_held_out_rows(spark, folder):
@@ -373,3 +385,58 @@ def test_pipeline(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} == set(out.columns)
     assert 0 < out.select("doc_id").distinct().count() <= docs.count()
+
+
+def test_viterbi_equals_an_exhaustive_search(letter_costs):
+    from itertools import product
+
+    rng = random.Random(8)
+    seen = 0
+    for _ in range(400):
+        word = "".join(rng.choices("aelost013@$!.- ", k=rng.randrange(1, 8)))
+        for breaks in (True, False):
+            best = None
+            for path in product(*toxicity.lattice(word, breaks)):
+                state, total = 0, 0.0
+                for _read, more, codes in path:
+                    total += more
+                    for code in codes:
+                        total += letter_costs[state << 6 | code]
+                        state = (state & 63) << 6 | code if code else 0
+                total += letter_costs[state << 6]
+                read = "".join(p[0] for p in path)
+                best = min(best or (total, read), (total, read))
+                seen += 1
+            got = toxicity.decode(word, letter_costs, breaks)
+            same = [p for p in product(*toxicity.lattice(word, breaks)) if "".join(x[0] for x in p) == got]
+            assert got == best[1] or same, word
+            if got != best[1]:  # only where two readings cost the same
+                costs = []
+                for path in same:
+                    state, total = 0, 0.0
+                    for _read, more, codes in path:
+                        total += more
+                        for code in codes:
+                            total += letter_costs[state << 6 | code]
+                            state = (state & 63) << 6 | code if code else 0
+                    costs.append(total + letter_costs[state << 6])
+                assert min(costs) == pytest.approx(best[0], abs=1e-9)
+    assert seen > 5000
+
+
+def test_reader_equals_whole_texts(letter_costs):
+    rng = random.Random(9)
+    parts = ["m o r o n", "m.o.r.o.n", "l0ser", "paththetic", "worthless", "a", "of", "sstupid", "st-up-id", "the", "\n", "i d i o t", "-", "x!"]
+    texts = ["", " ", *(" ".join(rng.choices(parts, k=rng.randrange(1, 30))) for _ in range(200))]
+    features = [(0, b"moron"), (0, b"loser"), (4, b"path"), (0, b"pathetic"), (0, b"stupid"), (5, b"worth"), (0, b"idiot")]
+    hashes = toxicity.feature_hashes(features)
+    order = np.argsort(hashes)
+    features = [features[i] for i in order]
+    for budget in (1 << 30, 2000):
+        reader = toxicity.Reader(letter_costs, hashes[order], toxicity.Wanted(features), budget)
+        got = [h for i in range(0, len(texts), 16) for h in reader.hits(texts[i : i + 16])]
+        for text, hits in zip(texts, got, strict=True):
+            own = toxicity.word_features(toxicity.restored(text, letter_costs))
+            assert {features[i] for i in hits} == own & set(features), text
+    both = toxicity.text_features(["Worthless idiot", "", "x"])
+    assert set(both[0][both[1] == 0]) == set(toxicity.feature_hashes(list(toxicity.word_features("Worthless idiot"))))
