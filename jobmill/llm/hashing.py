@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import hashlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15 | 1
-#: Bytes hashed at once; a longer text is hashed alone.
+#: Bytes hashed at once; a longer text is hashed in parts.
 CHUNK = 1 << 20
+#: Bytes from which a word is long.
+LONG_WORD = 256
+BLANKS = (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BLANK = np.zeros(256, bool)
@@ -36,18 +40,34 @@ _UP, _DOWN = powers(BASE, 1), powers(pow(BASE, -1, 1 << 64), 1)
 
 
 def tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n`` of each; made anew only to grow."""
+    """Powers of the base and of its inverse, at least ``n`` of each; those of a chunk are kept."""
     global _UP, _DOWN
-    if len(_UP) < n:
+    if n > CHUNK + 1:
+        return powers(BASE, n), powers(pow(BASE, -1, 1 << 64), n)
+    if min(len(_UP), len(_DOWN)) < n:
         _UP, _DOWN = powers(BASE, n), powers(pow(BASE, -1, 1 << 64), n)
     return _UP, _DOWN
 
 
+def pieces(data: bytes) -> Iterator[bytes]:
+    """Long data in stretches of about a chunk, cut at blanks; a longer word stays whole."""
+    at = 0
+    while len(data) - at > CHUNK:
+        cut = max(data.rfind(blank, at, at + CHUNK) for blank in BLANKS)
+        if cut <= at:
+            ends = [e for e in (data.find(blank, at + CHUNK) for blank in BLANKS) if e >= 0]
+            cut = min(ends, default=len(data))
+        yield data[at:cut]
+        at = cut
+    yield data[at:]
+
+
 def joined_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte of every word (A-Z lower-cased, blanks between) of some bytes.
 
     A word's hash is a polynomial of its bytes modulo 2^64, taken from running sums, and
-    scrambled; its length goes in as well.
+    scrambled; its length goes in as well. Such polynomials of some words of thousands of bytes
+    are equal by construction, so long words get a cryptographic hash.
     """
     raw = LOWER[np.frombuffer(data, np.uint8)]
     inside = np.zeros(len(raw) + 2, np.int8)
@@ -59,7 +79,11 @@ def joined_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
         value = (sums[end] - sums[start]) * down[start]
-        return mix64(mix64(value) + (end - start).astype(np.uint64)), start
+        out = mix64(mix64(value) + (end - start).astype(np.uint64))
+    for i in np.flatnonzero(end - start >= LONG_WORD):
+        digest = hashlib.blake2b(raw[start[i] : end[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out, start
 
 
 def word_hashes(texts: Iterable[str | None]) -> list[np.ndarray]:
@@ -82,6 +106,9 @@ def word_hashes(texts: Iterable[str | None]) -> list[np.ndarray]:
         if held + len(data) > CHUNK:
             flush()
             held = 0
+        if len(data) > CHUNK:
+            out.append(np.concatenate([joined_hashes(part)[0] for part in pieces(data)]))
+            continue
         waiting.append(data)
         held += len(data) + 1
     flush()

@@ -3,12 +3,8 @@
 from __future__ import annotations
 
 import bisect
-import gc
-import re
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -18,101 +14,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from jobmill.llm.common import store
+from jobmill.llm.encoder import TOKENIZER, task_encoder
 
-TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 CAPACITY = 4096
 #: Pieces that one island packs; so many bins that the last, half-filled one costs little.
 CELL_ITEMS = 8192
 ISLANDS, MIGRATIONS = 3, 2
 POPULATION, GENERATIONS = 4, 6
-#: Words whose ids a worker remembers, some 200 MB.
-REMEMBERED = 1_000_000
-WORDS_AT_ONCE = 4096
-MARK = re.compile(rb"(?<=[a-z0-9])([.,])(?=[\x20\x09-\x0D]|$)")
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
-# Letters that no step before the merges changes or parts, once they are lower case.
-PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
-# Byte-level vocabularies write a byte that is no printable Latin-1 character as the next free
-# character from 256 on.
-_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
-BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
-
-
-def word_ids(coder, words: list[bytes]) -> list[list[int]]:
-    """Ids of runs without blanks. A run of plain letters is one piece, so the vocabulary's merges
-    alone are asked; other runs go through all steps of the tokenizer."""
-    merges, out, rest = coder.model.tokenize, [], []
-    for i, word in enumerate(words):
-        text = word.decode()
-        if not (word.isalpha() and word.islower()):
-            text = text.lower()
-            if not PLAIN.fullmatch(text):
-                rest.append(i)
-                out.append([])
-                continue
-            text = text.encode().decode("latin-1").translate(BYTE_CHARS)
-        out.append([x.id for x in merges(text)])
-    coded = coder.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False)
-    for i, e in zip(rest, coded, strict=True):
-        out[i] = e.ids
-    return out
-
-
-@lru_cache(maxsize=2)
-def tokenizer(name: str):
-    import public_tokenizers
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(public_tokenizers.path(name)), {}
-
-
-@contextmanager
-def no_cycle_search():
-    """No search for cyclic garbage inside: encoding makes none, but many objects that start it."""
-    on = gc.isenabled()
-    gc.disable()
-    try:
-        yield
-    finally:
-        if on:
-            gc.enable()
-
-
-@no_cycle_search()
-def encode(texts: list[str], name: str = TOKENIZER) -> list[np.ndarray]:
-    """Token ids of every text, as the tokenizer gives them for the whole text.
-
-    Its pieces never cross ASCII blanks, so every distinct run of other characters is encoded
-    once and its ids are remembered as bytes. A full stop or comma after an ASCII letter or
-    digit is a piece of its own at a run's end, so it is parted first. ASCII capitals are
-    lowered, as the tokenizer does itself, unless the text could hold a special token's name.
-    """
-    coder, known = tokenizer(name)
-    split = []
-    for data in (t.encode() for t in texts):
-        split.append((data if b"<|" in data else MARK.sub(rb" \1", data.lower())).split())
-    every = set(chain.from_iterable(split))
-    missing = every.difference(known)
-    if missing:
-        if len(known) + len(missing) > REMEMBERED:
-            known.clear()
-            missing = every
-        words = list(missing)
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            part = words[at : at + WORDS_AT_ONCE]
-            coded = word_ids(coder, part)
-            flat, first = np.fromiter(chain.from_iterable(coded), "<u4").tobytes(), 0
-            for word, ids in zip(part, coded, strict=True):
-                last = first + 4 * len(ids)
-                known[word] = flat[first:last]
-                first = last
-    get = known.__getitem__
-    return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
-
-
 def pieces(docs: DataFrame, capacity: int = CAPACITY, name: str = TOKENIZER) -> DataFrame:
     """A stored table of pieces: ``doc_id, row, piece, start, length, ids_crc32``.
 
@@ -120,12 +32,11 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, name: str = TOKENIZER) ->
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 128):
-                part = batch.iloc[at : at + 128]
+        with task_encoder(name) as coder:
+            for batch in batches:
                 out = []
-                for doc, row, ids in zip(part["doc_id"], part["row"], encode(list(part["text"]), name), strict=True):
-                    ids = np.append(ids, np.array([END_ID], "<u4")).astype("<u4")
+                for doc, row, text in zip(batch["doc_id"], batch["row"], batch["text"], strict=True):
+                    ids = np.append(coder.text(text), np.array([END_ID], "<u4")).astype("<u4")
                     for i, start in enumerate(range(0, len(ids), capacity)):
                         own = ids[start : start + capacity]
                         out.append((None if pd.isna(doc) else doc, row, i, start, len(own), zlib.crc32(own.tobytes())))
