@@ -19,6 +19,8 @@ from jobmill.llm.common import drop, store
 from jobmill.llm.hashing import BASE, joined_hashes, mix64, tables
 
 PREDICT_AT = 0.3
+#: Labelled ids that the model is fitted on, about.
+LABELLED = 40_000
 #: Toxic training rows that candidate features come from, about, chosen by a hash.
 TOXIC_ROWS = 20_000
 #: Documents of the base rate added to a feature's counts, first and last.
@@ -280,7 +282,8 @@ class Reader:
 
     A word is restored and looked up once and its hits are remembered. Words that begin or end
     in a part of one or two characters may belong to a run over several words, so two or
-    more of them in a row are read once more together, with their neighbours.
+    more of them in a row are read once more together, with their neighbours. So each word is
+    also read alone, and a text has all hits of its whole restored form or more.
     """
 
     def __init__(self, costs: array, keys: np.ndarray, wanted: Wanted | None = None, budget: int = REMEMBERED_BYTES) -> None:
@@ -381,10 +384,16 @@ def count_batches(costs, model, best: bool):
 
 
 def train_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled texts that are not held out. Ids labelled twice count as toxic if one row says so."""
-    marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+    """Texts that are not held out, of about ``LABELLED`` labelled ids chosen by a hash.
+
+    So few ids may be broadcast, and no text is moved. Ids labelled twice count as toxic if
+    one row says so.
+    """
+    marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    part = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("labelled")), F.lit(1 << 30))
+    marks = marks.where(part < int(min(1.0, LABELLED / max(1, marks.count())) * (1 << 30)))
     marks = marks.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    return docs.where(~held_out()).select("doc_id", "text").join(marks, "doc_id").select("text", "toxic")
+    return docs.where(~held_out()).select("doc_id", "text").join(F.broadcast(marks), "doc_id").select("text", "toxic")
 
 
 def held_out() -> Column:
