@@ -107,17 +107,16 @@ def test_encoder_equals_the_tokenizer(coder):
 
 def test_token_files(spark, texts, coder, tmp_path):
     docs = documents(spark, texts)
-    rows = []
+    expected = []
     for doc, text in texts:
         ids = coder.encode(text or "", add_special_tokens=False).ids + [2]
-        rows.append((-1 if doc is None else doc, zlib.crc32(np.array(ids, "<u4").tobytes()), len(ids)))
-    expected, start = [], 0
-    for doc, crc, n in sorted(rows):
-        expected.append((None if doc == -1 else doc, start, n, crc))
-        start += n
-    for per_file in (2000, 10**9):
-        got = [tuple(r) for r in token_files.round_trip(docs, per_file).collect()]
-        assert sorted(got, key=lambda r: (r[1], r[3])) == expected
+        expected.append((doc is not None, doc or 0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    for per_file in (20_000, 10**9):
+        got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in token_files.round_trip(docs, per_file).collect())
+        assert [r[0] for r in got] == [0, *np.cumsum([r[2] for r in got])[:-1].tolist()]
+        placed = [(d is not None, d or 0, n, crc) for _, d, n, crc in got]
+        assert [p[:2] for p in placed] == sorted(p[:2] for p in expected)
+        assert sorted(placed) == sorted(expected)
     assert token_files.round_trip(docs.limit(0)).count() == 0
 
 
