@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from jobmill.llm.common import attach, n_words, store
+from jobmill.llm.common import attach, free_name, n_words, store
 
 BLOCK_WORDS = 64
 WEIGHTS = (3, 1, 2)
@@ -177,12 +177,13 @@ def mixed(docs: DataFrame) -> DataFrame:
     part = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(F.lit(0))
     copies = rows.groupBy(*[F.col(c).alias("_mix_" + c) for c in ("doc_id", "source", "size")]).agg(
         F.round(F.avg(part)).cast("int").alias("_copies")
-    )
+    ).where("_copies > 0")
     on = (
-        docs["doc_id"].eqNullSafe(F.col("_mix_doc_id"))
-        & docs["source"].eqNullSafe(F.col("_mix_source"))
-        & (n_words(docs["text"]) == F.col("_mix_size"))
+        docs["doc_id"].eqNullSafe(copies["_mix_doc_id"])
+        & docs["source"].eqNullSafe(copies["_mix_source"])
+        & (n_words(docs["text"]) == copies["_mix_size"])
     )
-    chosen = docs.join(copies.where("_copies > 0"), on)
-    again = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
-    return chosen.select(*[docs[c] for c in docs.columns], again).drop("_copy")
+    chosen = docs.join(copies, on)
+    copy = free_name(docs, "_copy")
+    again = F.explode(F.sequence(F.lit(1), copies["_copies"])).alias(copy)
+    return chosen.select(*[docs[c] for c in docs.columns], again).select(*docs.columns)

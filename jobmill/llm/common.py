@@ -13,6 +13,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A key is hot above this share of the rows, so fewer than ``1 / HOT_SHARE`` keys are.
 HOT_SHARE = 1 / 2048
+#: No key with more rows than this is cold, however many rows there are.
+MOST_COLD = 1 << 18
 #: Places of the keys that are not hot, at least.
 FEWEST_PLACES = 2048
 
@@ -21,17 +23,34 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def store(df: DataFrame, purpose: str) -> DataFrame:
+def hot_limit(total: int) -> float:
+    """Rows beyond which a key is hot: a share of all rows, and never more than ``MOST_COLD``.
+
+    So at most ``max(1 / HOT_SHARE, total / MOST_COLD)`` keys are hot: some 100,000 of 2.5e10 rows.
+    """
+    return min(total * HOT_SHARE, MOST_COLD)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def store(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the folder all executors share and read again: its lineage is cut."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """A stored copy of ``df`` with ``_row``, a number that every row keeps whenever it is read."""
-    return store(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+def numbered(df: DataFrame, compression: str = "snappy") -> tuple[DataFrame, str]:
+    """A stored copy of ``df`` with a number that every row keeps whenever it is read, and that column's name."""
+    name = free_name(df, "_row")
+    return store(df.withColumn(name, F.monotonically_increasing_id()), "numbered", compression), name
 
 
 def drop(*tables: DataFrame) -> None:
@@ -60,12 +79,12 @@ def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], weight: str,
     """``rows`` with the columns of ``facts``, which has one row per key and, in ``weight``,
     how many rows that key has.
 
-    Facts of hot keys, fewer than ``1 / HOT_SHARE`` of them, are broadcast, so the rows of
+    Facts of hot keys, of which there are few (see ``hot_limit``), are broadcast, so the rows of
     a hot key stay where they are; all other keys are shuffled. Rows without facts are left
     out. ``rows`` is read twice: pass a stored table.
     """
     keys = list(keys)
-    limit = max(1.0, total * HOT_SHARE)
+    limit = max(1.0, hot_limit(total))
     renamed = facts.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     names = [f"_k_{k}" for k in keys]
     on = F.lit(True)
@@ -81,17 +100,17 @@ def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], weight: str,
 
 def places(df: DataFrame, hashed: Column, spread: Column, per_place: int) -> tuple[DataFrame, int]:
     """``df`` with ``_place``, a number of which no value holds many more than ``per_place`` rows
-    or ``HOT_SHARE`` of all rows, and the number of places; ``_hot`` marks rows of hot keys.
+    or ``hot_limit`` rows, and the number of places; ``_hot`` marks rows of hot keys.
 
     Rows of one cold key share a place. A hot key (found by counting its hash) has as many
-    places of its own as its count asks for. Fewer than ``1 / HOT_SHARE`` keys are hot, and
-    that list alone reaches the driver.
+    places of its own as its count asks for. Few keys are hot, and that list
+    alone reaches the driver.
     """
     spark = df.sparkSession
     counts = df.select(hashed.alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
     counts = store(counts, "counts")
     rows = counts.agg(F.sum("_n")).first()[0] or 0
-    limit = max(2.0, rows * HOT_SHARE)
+    limit = max(2.0, hot_limit(rows))
     found = counts.where(F.col("_n") > limit).orderBy("_h").collect()
     drop(counts)
     cold = max(FEWEST_PLACES, -(-rows // per_place))

@@ -147,6 +147,6 @@ def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
 
     The rows are stored with a number, and only numbers meet the documents.
     """
-    stored = numbered(docs)
-    kept = grouped_rows(stored, text, doc_id, row="_row").where("kept").select(F.col("row").alias("_row"))
-    return stored.join(kept, "_row", "left_semi").select(*docs.columns)
+    stored, number = numbered(docs)
+    kept = grouped_rows(stored, text, doc_id, row=number).where("kept").select(F.col("row").alias(number))
+    return stored.join(kept, number, "left_semi").select(*docs.columns)

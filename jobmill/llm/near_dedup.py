@@ -309,10 +309,10 @@ def keep_one(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
     group the row with the smallest id stays, one without an id only where no row has one.
     Rows without shingles stand alone and stay. Only numbers and ids meet the documents.
     """
-    stored = numbered(docs)
-    groups = near_groups(stored.select(F.col("_row").alias("doc_id"), "text"), percent).select(
+    stored, number = numbered(docs)
+    groups = near_groups(stored.select(F.col(number).alias("doc_id"), "text"), percent).select(
         F.col("doc_id").alias("_row"), "component_id"
     )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id"), F.col("_row")))
-    kept = groups.join(stored.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first.alias("_first"))
-    return stored.join(kept.select("_first._row"), "_row", "left_semi").select(*docs.columns)
+    kept = groups.join(stored.select(F.col(number).alias("_row"), "doc_id"), "_row").groupBy("component_id").agg(first.alias("_first"))
+    return stored.join(kept.select(F.col("_first._row").alias(number)), number, "left_semi").select(*docs.columns)

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmill.llm.common import attach, drop, store
+from jobmill.llm.common import attach, drop, numbered, store
 from jobmill.session import shared_dir
 
 #: Equal payloads of at least so many bytes are stored once.
@@ -70,9 +70,8 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> Non
     """
     html = F.coalesce("html", F.lit(""))
     uri = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]+", " ")
-    rows = pages.select(
-        F.monotonically_increasing_id().alias("row"), "page_id", uri.alias("uri"), html.alias("html")
-    ).withColumns({"digest": base32(F.sha1(F.encode("html", "UTF-8"))), "bytes": F.octet_length("html").cast("long")})
+    stored, number = numbered(pages.select("page_id", "url", "html"), "zstd")
+    rows = stored.select(F.col(number).alias("row"), "page_id", uri.alias("uri"), html.alias("html")).withColumns({"digest": base32(F.sha1(F.encode("html", "UTF-8"))), "bytes": F.octet_length("html").cast("long")})
     narrow = store(rows.select("row", "page_id", "digest", "bytes"), "payloads")
     total, largest = narrow.agg(F.count(F.lit(1)), F.max("bytes")).first()
     last = F.max(F.struct(F.col("page_id").isNotNull().alias("_has"), F.col("page_id"), F.col("row").alias("response_row")))
@@ -82,7 +81,6 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> Non
     groups = store(groups.where("_n > 1"), "payload-groups")
     again = attach(narrow, groups, ["digest", "bytes"], "_n", total).where(F.col("row") != F.col("_last.response_row"))
     revisits = again.select("row", F.col("_last.response_row").alias("response_row"))
-    # Row numbers follow the scan, which is the same for both readings of the input files.
     decided = rows.join(revisits, "row", "left")
     revisit = F.col("response_row").isNotNull()
     own = record_id("response", F.col("row"))
@@ -116,7 +114,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> Non
         .option("maxRecordsPerFile", 3 * captures)
         .text(path)
     )
-    drop(narrow, groups)
+    drop(stored, narrow, groups)
 
 
 def parsed(source: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:

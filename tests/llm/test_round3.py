@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from jobmill.llm import encoder, fill_in_middle, token_files, whitening
+from jobmill.llm import encoder, fill_in_middle, token_files, tool_calls, vector_search, warc, whitening
 
 DOCS = "doc_id long, text string, row int, start string, part string, output string, h1 string, ids string"
 VECTORS = "vec_id long, embedding array<float>, x int, n string, whitened string, pos int"
@@ -203,3 +203,61 @@ def test_whitening_without_spread(spark):
     line = [extra(i, [float(i), 2.0 * i]) for i in range(50)] + [extra(None, [3.0, 6.0])] * 2
     got = whitening.whiten(spark.createDataFrame(line, VECTORS)).collect()
     assert len(got) == 52 and {r["component"] for r in got} == {1} and got[0]["identity_error"] < 1e-9
+
+
+# ---- cases named by reviews
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _row long, _copy int, _copies int, _mix_doc_id int, _n int, name string"
+    long = " ".join(f"word{i}" for i in range(300))
+    rows = [(i, t, "en", "s", 1, 77, 5, 6, 7, 8, "n") for i, t in enumerate([long, long, long + " end", None, "", "a b c d e f g", long[:900]])]
+    rows += [rows[0], (None, long, None, None, None, 77, 5, 6, 7, 8, "n"), (None, None, None, None, None, 77, 5, 6, 7, 8, "n")]
+    docs = spark.createDataFrame(rows, schema)
+    for table in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, table, "")
+            assert out.columns == docs.columns, name
+            assert {tuple(r)[5:] for r in out.collect()} <= {(77, 5, 6, 7, 8, "n")}, name
+        assert corpus_pipeline.STAGES[-1][1](spark, table, "").count() == table.count()
+    kept = corpus_pipeline.exact(spark, docs, "").collect()
+    assert sorted((str(r["doc_id"]) for r in kept), key=str) == ["0", "2", "3", "5", "6"]
+
+
+def test_captures_after_a_shuffle(spark):
+    pages = spark.createDataFrame([(i, "u", "x" * 2000 + str(i % 3)) for i in range(2000)], "page_id long, url string, html string")
+    got = warc.page_captures(pages.repartition(7)).where("record_type = 'revisit'")
+    assert {r[0] for r in got.select("refers_to").distinct().collect()} == {1997, 1998, 1999}
+
+
+def test_json_of_odd_values():
+    assert tool_calls.canonical({"a": "x\ud800é"}) == '{"a":"x\\ud800é"}'
+    assert tool_calls.canonical({"a": "\ud800"}).encode()
+    assert tool_calls.parsed('{"top":1e999}') is ... and tool_calls.parsed("NaN") is ...
+    assert [tool_calls.parsed(t) for t in ("1", "1.0", "1e0", "1.5")] == [1, 1, 1, 1.5]
+    assert isinstance(tool_calls.parsed("1.0"), int) and tool_calls.parsed('{"a":1,"a":2}') == {"a": 2}
+    assert tool_calls.fits(None, {"type": ["string", "null"]}) and not tool_calls.fits(1, {"type": ["string", "null"]})
+
+
+def test_calls_with_surrogates(spark):
+    calls = spark.createDataFrame([(1, 0, "c", "search", '{"query":"\\ud800","top":1.0}', None)], "conv_id long, turn int, call_id string, name string, arguments string, needs array<string>")
+    results = spark.createDataFrame([("c", 1, "r")], "call_id string, turn int, content string")
+    row = tool_calls.link(calls, results).first()
+    assert row["status"] == "ok" and '"query":"\\ud800","top":1' in row["canonical"]
+
+
+def test_search_of_large_components(spark):
+    rng = random.Random(6)
+    rows = [(i, [rng.uniform(-1, 1) * 5e6 for _ in range(3)]) for i in range(120)]
+    got = vector_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    for q in (0, 50, 100):
+        best = sorted(((-sum(a * b for a, b in zip(ints[q], v, strict=True)), i) for i, v in ints.items() if i != q))[:5]
+        assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [(i, -s) for s, i in best]
+    huge = spark.createDataFrame([(0, [1e30, 0.0]), (1, [0.5, 1.0]), (2, [1e8, -1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64-bit form"):
+        vector_search.top_k(huge).collect()
+    small = spark.createDataFrame([(0, [0.0, 0.5]), (1, [1e30, 1.0]), (2, [-1e30, 2.0])], "vec_id long, embedding array<double>")
+    assert [(r["vec_id"], r["score"]) for r in vector_search.top_k(small).orderBy("rank").collect()] == [(2, 65536), (1, 32768)]
