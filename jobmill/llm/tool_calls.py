@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Mapping
 
 import pandas as pd
@@ -37,10 +39,15 @@ TOOLS: dict[str, dict] = {
 NAMES = ("search", "lookup", "recall")
 
 
+def is_kind(value: object, kind: str) -> bool:
+    return isinstance(value, KINDS[kind]) and not (isinstance(value, bool) and kind in ("integer", "number"))
+
+
 def fits(value: object, schema: Mapping) -> bool:
     """Whether a JSON value obeys a schema of types, bounds, enumerations, items and properties."""
-    kind = schema.get("type")
-    if kind and (not isinstance(value, KINDS[kind]) or (isinstance(value, bool) and kind in ("integer", "number"))):
+    kinds = schema.get("type")
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    if kinds and not any(is_kind(value, kind) for kind in kinds):
         return False
     if "enum" in schema and value not in schema["enum"]:
         return False
@@ -60,14 +67,39 @@ def fits(value: object, schema: Mapping) -> bool:
     return True
 
 
+def number(text: str) -> int | float:
+    """A number with a point or exponent: whole ones below 2^53 are integers, so 1, 1.0 and 1e0 are one value."""
+    value = float(text)
+    if not math.isfinite(value):
+        raise ValueError("no finite number")
+    return int(value) if value.is_integer() and abs(value) < 1 << 53 else value
+
+
+def no_constant(name: str) -> object:
+    raise ValueError(f"{name} is no JSON")
+
+
 def parsed(text: object) -> object:
-    """The JSON value of a text; ``...`` if it is none."""
+    """The JSON value of a text; ``...`` if it is none or holds a number that is not finite.
+
+    Of a name that an object repeats the last value counts.
+    """
     try:
-        return json.loads(text, parse_constant=lambda _: 1 / 0) if isinstance(text, str) else ...
-    except (ValueError, ZeroDivisionError, RecursionError):
+        return json.loads(text, parse_constant=no_constant, parse_float=number) if isinstance(text, str) else ...
+    except (ValueError, RecursionError):
         return ...
 
 
+#: Halves of a surrogate pair without the other half.
+LONE = re.compile("[\ud800-\udfff]")
+
+
+def canonical(record: object) -> str:
+    """Sorted keys, no blanks, unescaped letters; a lone surrogate, which no UTF-8 has, stays an escape."""
+    text = json.dumps(record, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """``call_id, level``: 0 for a call that needs none of the others, else one more than the
     highest level it needs; null on a cycle and behind one.
@@ -132,7 +164,7 @@ def link(calls: DataFrame, results: DataFrame, tools: Mapping[str, Mapping] = TO
                 "name": name,
                 "result": content if isinstance(content, str) else None,
             }
-            out.append((status, json.dumps(record, sort_keys=True, separators=(",", ":"), ensure_ascii=False)))
+            out.append((status, canonical(record)))
         return pd.DataFrame(out, columns=["status", "canonical"])
 
     made = formatted("call_id", "name", "arguments", F.col("_r.content"), "level", F.col("_r").isNotNull())

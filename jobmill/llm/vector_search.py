@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from jobmill.llm.common import store
+from jobmill.llm.common import drop, store
 
 BITS = 6
 TOP = 5
@@ -45,14 +45,32 @@ def approximation_file(vectors: DataFrame, bits: int = BITS) -> tuple[DataFrame,
     low, high = numbers.agg(F.min(F.array_min("vector")), F.max(F.array_max("vector"))).first()
     low, high = low or 0, high or 0
     width = (high - low) // (1 << bits) + 1
-    cells = F.transform("vector", lambda v: F.floor((v - low) / width).cast("short"))
-    return store(numbers.withColumn("cells", cells), "approximations"), low, width
+    def cell(v: Column) -> Column:
+        at = F.floor((v.cast("double") - float(low)) / float(width))
+        return F.greatest(F.lit(0), F.least(F.lit((1 << bits) - 1), at)).cast("short")
+
+    file = store(numbers.withColumn("cells", F.transform("vector", cell)), "approximations")
+    drop(numbers)
+    return file, low, width
 
 
 def nothing() -> pd.DataFrame:
     return pd.DataFrame({c: pd.Series([], dtype="int64") for c in ("query_row", "query_id", "vec_id", "score")})
 
 
+def exact_scores(vectors: np.ndarray, query: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, list[int]]:
+    """The ``n`` best scores of vectors whose products may pass 64 bits, and their places.
+
+    A best score that has no 64-bit form raises an error.
+    """
+    own = query.astype(object)
+    score = [int((v.astype(object) * own).sum()) for v in vectors]
+    best = sorted(range(len(score)), key=lambda i: (-score[i], ids[i]))[:n]
+    if any(not -(1 << 63) <= score[i] < 1 << 63 for i in best):
+        raise OverflowError("a score has no 64-bit form: the components are too large")
+    return np.array([score[i] for i in best], np.int64), best
+
+
 def nearest(rows: pd.DataFrame, queries: pd.DataFrame, low: int, width: int, top: int) -> pd.DataFrame:
     """The best ``top`` rows of this block for each query of this block.
 
@@ -66,6 +84,9 @@ def nearest(rows: pd.DataFrame, queries: pd.DataFrame, low: int, width: int, top
     vectors = np.stack(rows["vector"].to_numpy()[order]).astype(np.int64)
     cells = np.stack(rows["cells"].to_numpy()[order])
     centres = low + cells * float(width) + (width - 1) / 2
+    # A cell number is rounded where components pass 2^53, by less than this.
+    half = (width - 1) / 2 + (abs(low) + 64.0 * width) * 2.0**-50
+    wide = vectors.shape[1] * int(max(abs(int(vectors.min())), int(vectors.max()))) ** 2 >= 1 << 62
     wanted = np.stack(queries["vector"].to_numpy()).astype(np.int64)
     own = queries["vec_id"].to_numpy()
     out = []
@@ -73,7 +94,7 @@ def nearest(rows: pd.DataFrame, queries: pd.DataFrame, low: int, width: int, top
         part = wanted[at : at + AT_ONCE].astype(np.float64)
         near = part @ centres.T
         # Rounding of the product is far below this share of its largest possible size.
-        slack = (width - 1) / 2 * np.abs(part).sum(1) + 1e-9 * (np.abs(part).sum(1) * np.abs(centres).max(initial=0)) + 1e-6
+        slack = half * np.abs(part).sum(1) + 1e-9 * (np.abs(part).sum(1) * np.abs(centres).max(initial=0)) + 1e-6
         for i in range(len(part)):
             bound = near[i] + slack[i]
             bound[ids == own[at + i]] = -np.inf
@@ -84,6 +105,10 @@ def nearest(rows: pd.DataFrame, queries: pd.DataFrame, low: int, width: int, top
             floor = np.partition(bound, len(bound) - n)[len(bound) - n] - 2 * slack[i]
             able = np.flatnonzero(bound >= floor)
             able = able[np.argsort(-bound[able], kind="stable")]
+            if wide:
+                score, best = exact_scores(vectors[able], wanted[at + i], ids[able], n)
+                out.append((queries["row"].iloc[at + i], own[at + i], ids[able[best]], score))
+                continue
             score = np.empty(0, np.int64)
             read, step = 0, 4 * n
             while read < len(able) and (read < n or bound[able[read]] >= np.partition(score, read - n)[read - n]):

@@ -153,29 +153,35 @@ def scorer(docs: DataFrame) -> Column:
     """A column with the score of ``text`` in 0 to 1, learned from all documents of ``docs``.
 
     The votes of all documents are counted by pattern of votes; the accuracies are estimated
-    from these counts. The linear scorer is fitted on at most ``SAMPLE`` documents, chosen
-    by a hash of text, with the posteriors of their votes as labels.
+    from these counts. The linear scorer is fitted on at most ``SAMPLE`` documents, the
+    distinct texts of smallest hashes among those chosen by hash, with the posteriors of their votes as labels.
     """
     total = docs.count()
     every = max(1, -(-total // SAMPLE))
-    sampled = docs.select("text", (F.pmod(F.xxhash64("text"), F.lit(every)) == 0).alias("chosen"))
+    sampled = docs.select("text", F.xxhash64("text").alias("hash"))
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at : at + 256]
                 found, distinct = measured(part["text"])
                 code = votes(found) @ 3 ** np.arange(len(MEASURES))
-                chosen = part["chosen"].to_numpy()
+                first = ~part["hash"].duplicated().to_numpy() & ~part["hash"].isin(seen).to_numpy()
+                chosen = (part["hash"].to_numpy() % every == 0) & first
+                seen.update(part["hash"].to_numpy()[chosen].tolist())
                 own = features(found[chosen], [d for d, c in zip(distinct, chosen, strict=True) if c])
                 kept = iter(own)
-                yield pd.DataFrame({"code": code, "found": [next(kept) if c else None for c in chosen]})
+                yield pd.DataFrame(
+                    {"code": code, "hash": part["hash"].to_numpy(), "found": [next(kept) if c else None for c in chosen]}
+                )
 
-    voted = store(sampled.mapInPandas(vote, "code int, found array<int>"), "votes")
+    voted = store(sampled.mapInPandas(vote, "code int, hash long, found array<int>"), "votes")
     counted = voted.groupBy("code").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("code")
     patterns = counted["code"].to_numpy()[:, None] // 3 ** np.arange(len(MEASURES)) % 3
     posterior = dict(zip(counted["code"], estimate(patterns, counted["n"].to_numpy(float)), strict=True))
-    rows = voted.where("found IS NOT NULL").limit(SAMPLE).toPandas()
+    chosen = voted.where("found IS NOT NULL").dropDuplicates(["hash"]).orderBy("hash").limit(SAMPLE)
+    rows = chosen.toPandas()
     drop(voted)
     weights, bias = fit([np.asarray(x) for x in rows["found"]], rows["code"].map(posterior).to_numpy(float))
     model = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), bias))
