@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 TOKENIZER = "word_bpe_49k.json"
 #: Bytes of words and ids that a worker remembers during a task, overheads included.
-REMEMBERED_BYTES = 64 << 20
+REMEMBERED_BYTES = 40 << 20
 # Bytes of the two objects and the dictionary place of a word, beside its text and its ids.
 OVERHEAD = 180
 # How ASCII text parts: runs of letters, single digits, runs of other signs.
@@ -94,6 +96,13 @@ class WordIds(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, (data if b"<|" in data else data.lower()).split())), "<u4")
 
 
+def give_back() -> None:
+    """Return free memory of this worker, which waits for its next task, to the system."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @contextmanager
 def task_encoder(name: str = TOKENIZER, budget: int = REMEMBERED_BYTES) -> Iterator[WordIds]:
     """An encoder for one task, emptied when the task ends, however it ends.
@@ -109,5 +118,6 @@ def task_encoder(name: str = TOKENIZER, budget: int = REMEMBERED_BYTES) -> Itera
     finally:
         words.clear()
         words.old.clear()
+        give_back()
         if on:
             gc.enable()

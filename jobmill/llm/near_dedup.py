@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmill.llm.common import attach, drop, numbered, store
+from jobmill.llm.encoder import give_back
 from jobmill.llm.hashing import mix64, word_hashes
 
 SHINGLE = 5
@@ -120,6 +121,7 @@ def sketch_batches(percent: int):
                         rows.append((0, 0, 0, None))
                 n, a, b, keys = zip(*rows, strict=True)
                 yield pd.DataFrame({"doc_id": part["doc_id"].array, "n_shingles": n, "set_a": a, "set_b": b, "bands": keys})
+        give_back()
 
     return run
 
@@ -132,6 +134,7 @@ def set_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             bits = [parity(x) for x in sets]
             sets = [x.view(np.int64) for x in sets]
             yield pd.DataFrame({"doc_id": part["doc_id"].array, "shingles": sets, "bits": bits})
+    give_back()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

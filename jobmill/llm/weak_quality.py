@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmill.llm.common import drop, store
+from jobmill.llm.encoder import give_back
 from jobmill.llm.hashing import mix64, word_hashes
 
 #: Documents the linear scorer is fitted on, at most.
@@ -175,6 +176,7 @@ def scorer(docs: DataFrame) -> Column:
                 yield pd.DataFrame(
                     {"code": code, "hash": part["hash"].to_numpy(), "found": [next(kept) if c else None for c in chosen]}
                 )
+        give_back()
 
     voted = store(sampled.mapInPandas(vote, "code int, hash long, found array<int>"), "votes")
     counted = voted.groupBy("code").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("code")
@@ -187,14 +189,17 @@ def scorer(docs: DataFrame) -> Column:
     model = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), bias))
 
     @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         w, b = model.value
-        out = np.empty(len(texts))
-        for at in range(0, len(texts), 256):
-            found, distinct = measured(texts.iloc[at : at + 256])
-            for i, x in enumerate(features(found, distinct)):
-                out[at + i] = (w[x] * values(x)).sum() + b
-        return pd.Series(1 / (1 + np.exp(-np.clip(out, -30, 30))))
+        for texts in batches:
+            out = np.empty(len(texts))
+            for at in range(0, len(texts), 256):
+                found, distinct = measured(texts.iloc[at : at + 256])
+                for i, x in enumerate(features(found, distinct)):
+                    out[at + i] = (w[x] * values(x)).sum() + b
+            del texts
+            yield pd.Series(1 / (1 + np.exp(-np.clip(out, -30, 30))))
+        give_back()
 
     return run(F.col("text"))
 
