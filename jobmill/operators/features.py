@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.clustering import LDA, KMeans
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +18,6 @@ from jobmill.functions.tokens import ngrams
 SEED = 42
 
 
-def _terms(df: DataFrame, row_id: str, tokens: str, low: int, high: int) -> DataFrame:
-    terms = F.explode_outer(ngrams(F.col(tokens), low, high)).alias("term")
-    return df.select(row_id, terms).where("term IS NOT NULL")
-
-
 def term_counts(df: DataFrame, tokens: str, low: int = 1, high: int = 1) -> DataFrame:
     """Occurrences and document count of each n-gram, with one shuffle.
 
@@ -42,34 +41,54 @@ def top_terms(counts: DataFrame, k: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), "term").limit(k)
 
 
-def tfidf_top(df: DataFrame, row_id: str, tokens: str, high: int = 3, vocabulary: int = 5000) -> DataFrame:
-    """Terms of the ``vocabulary`` most frequent n-grams by total L2-normalised tf-idf.
+def weighted(df: DataFrame, tokens: str, kept: list, documents: int, high: int) -> DataFrame:
+    """``df`` with ``weights``: a sparse vector per text over the terms ``kept``, made inside its row.
 
-    ``idf = ln((1 + documents) / (1 + documents with the term)) + 1``.
+    ``tf * idf`` with ``idf = ln((1 + documents) / (1 + documents with the term)) + 1``, scaled to length 1.
     """
-    kept = top_terms(term_counts(df, tokens, 1, high), vocabulary)
-    documents = df.agg(F.count(F.lit(1))).scalar()
-    idf = kept.select(
-        "term", "n", "n_docs", (F.log((documents + 1.0) / (F.col("n_docs") + 1.0)) + 1.0).alias("idf")
-    )
-    # ``kept`` holds at most ``vocabulary`` rows, so it may be broadcast; terms outside
-    # it are gone before anything is grouped.
-    per_text = (
-        _terms(df, row_id, tokens, 1, high)
-        .join(F.broadcast(idf), "term")
-        .groupBy(row_id, "term", "n", "n_docs", "idf")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    weighted = per_text.withColumn("w", F.col("tf") * F.col("idf"))
-    # A text keeps at most ``vocabulary`` terms: its list is bounded and gives its norm.
-    texts = weighted.groupBy(row_id).agg(
-        F.collect_list(F.struct("term", "n", "n_docs", "w")).alias("terms"),
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-    )
-    return (
-        texts.select("norm", F.explode("terms").alias("t"))
-        .groupBy("t.term", "t.n", "t.n_docs")
-        .agg(F.round(F.sum(F.col("t.w") / F.col("norm")), 6).alias("tfidf"))
+    counter = CountVectorizerModel.from_vocabulary([r["term"] for r in kept], "_grams", "_counts")
+    idf = [math.log((documents + 1.0) / (r["n_docs"] + 1.0)) + 1.0 for r in kept]
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_scaled")
+    unit = Normalizer(p=2.0, inputCol="_scaled", outputCol="weights")
+    grams = df.withColumn("_grams", ngrams(F.col(tokens), 1, high))
+    return unit.transform(scale.transform(counter.transform(grams))).drop("_grams", "_counts", "_scaled")
+
+
+def tfidf_top(df: DataFrame, tokens: str, high: int = 3, vocabulary: int = 5000) -> DataFrame:
+    """Terms of the ``vocabulary`` most frequent n-grams by total L2-normalised tf-idf: ``term, n, n_docs, tfidf``.
+
+    Every text's weights stay in its row as a sparse vector; the sum of the vectors combines
+    inside the tasks, so no (text, term) pair is shuffled. Only the vocabulary, which is
+    bounded, and one total per term of it reach the driver.
+    """
+    kept = top_terms(term_counts(df, tokens, 1, high), vocabulary).collect()
+    if not kept:
+        return df.sparkSession.createDataFrame([], "term string, n long, n_docs long, tfidf double")
+    documents = df.count()
+    rows = weighted(df, tokens, kept, documents, high)
+    totals = rows.select(Summarizer.sum(F.col("weights"))).first()[0].toArray().tolist()
+    found = [(r["term"], r["n"], r["n_docs"], round(t, 6)) for r, t in zip(kept, totals, strict=True)]
+    return df.sparkSession.createDataFrame(found, "term string, n long, n_docs long, tfidf double")
+
+
+def tfidf_matrix(df: DataFrame, row_id: str, tokens: str, high: int = 3, vocabulary: int = 5000) -> DataFrame:
+    """``row_id, term, weight``: every text's weights over the vocabulary, one row per text and term.
+
+    Texts without a term of the vocabulary have no rows.
+    """
+    kept = top_terms(term_counts(df, tokens, 1, high), vocabulary).collect()
+    if not kept:
+        return df.sparkSession.createDataFrame([], df.select(row_id).schema.add("term", "string").add("weight", "double"))
+    documents = df.count()
+    terms = F.array(*[F.lit(r["term"]) for r in kept])
+
+    @F.udf("array<struct<at:int,weight:double>>")
+    def entries(v):
+        return list(zip(v.indices.tolist(), v.values.tolist(), strict=True))
+
+    rows = weighted(df, tokens, kept, documents, high)
+    return rows.select(row_id, F.inline(entries("weights"))).select(
+        row_id, F.get(terms, F.col("at")).alias("term"), F.round("weight", 6).alias("weight")
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +17,10 @@ from jobmill.functions.tokens import (
     without_short_or_numeric,
     without_stop_words,
 )
+from jobmill.session import shared_dir
+
+#: Rows of the largest lemma table that every worker holds, some 100 MB.
+MOST_LEMMAS = 500_000
 
 
 def content_tokens(text: Column, language: Column) -> Column:
@@ -26,65 +33,86 @@ def lemma_table(lemmas: DataFrame) -> DataFrame:
     return lemmas.groupBy("lang", "token").agg(F.min("lemma").alias("lemma"))
 
 
-def lemmatize(
-    df: DataFrame, row_id: str, tokens: str, language: str, lemmas: DataFrame
-) -> DataFrame:
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read again."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def lemmatize(df: DataFrame, tokens: str, language: str, lemmas: DataFrame, most: int = MOST_LEMMAS) -> DataFrame:
     """Replace every token by its lemma; unknown tokens stay; order is kept.
 
-    The lookup is a plain join on the token: Spark broadcasts a table below its own size limit
-    and splits frequent tokens of a larger one at run time.
+    A lemma table of at most ``most`` rows is given to the workers, and arrays are rewritten in
+    place: nothing is exploded or shuffled, and rows need no id. A larger table is joined.
     """
-    table = lemma_table(lemmas).select(
-        F.concat_ws(" ", "lang", "token").alias("_key"), F.col("lemma").alias("_lemma")
-    )
+    table = stored(lemma_table(lemmas).where("token <> lemma"), "lemma-table")
+    if table.count() > most:
+        return lemmatize_by_join(df, tokens, language, table)
+    words: dict[str, dict[str, str]] = {"es": {}, "en": {}}
+    for row in table.collect():
+        words.setdefault(row["lang"], {})[row["token"]] = row["lemma"]
+    held = df.sparkSession.sparkContext.broadcast(words)
+
+    @F.arrow_udf("array<string>")
+    def rewritten(lists: pa.Array, languages: pa.Array) -> pa.Array:
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+        coded = lists.flatten().dictionary_encode()
+        seen = coded.dictionary.to_pylist()
+        both = [held.value[lang].get(w, w) for lang in ("es", "en") for w in seen]
+        english = np.repeat(np.asarray(pc.equal(languages, "en").fill_null(False)), sizes)
+        at = np.asarray(coded.indices) + english * len(seen)
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.array(both, pa.string()).take(pa.array(at)))
+
+    return df.withColumn(tokens, rewritten(F.col(tokens), lemma_language(F.col(language))))
+
+
+def lemmatize_by_join(df: DataFrame, tokens: str, language: str, table: DataFrame) -> DataFrame:
+    """The same with a lemma table of any size: tokens are joined and put together by row number."""
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    keyed = table.select(F.concat_ws(" ", "lang", "token").alias("_key"), F.col("lemma").alias("_lemma"))
     # The outer form keeps Catalyst from adding a filter that would tokenise twice.
-    words = df.select(
-        row_id, lemma_language(F.col(language)).alias("_lang"), F.posexplode_outer(tokens).alias("_pos", "_token")
+    words = rows.select(
+        "_row", lemma_language(F.col(language)).alias("_lang"), F.posexplode_outer(tokens).alias("_pos", "_token")
     ).where("_token IS NOT NULL")
-    words = words.select(row_id, "_pos", "_token", F.concat_ws(" ", "_lang", "_token").alias("_key"))
-    joined_words = words.join(table, "_key", "left")
-    looked_up = joined_words.select(
-        row_id, "_pos", F.coalesce("_lemma", "_token").alias("_word")
-    )
-    rebuilt = looked_up.groupBy(row_id).agg(
+    words = words.select("_row", "_pos", "_token", F.concat_ws(" ", "_lang", "_token").alias("_key"))
+    looked_up = words.join(keyed, "_key", "left").select("_row", "_pos", F.coalesce("_lemma", "_token").alias("_word"))
+    rebuilt = looked_up.groupBy("_row").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("_pos", "_word"))), lambda w: w["_word"]
         ).alias("_words")
     )
     return (
-        df.join(rebuilt, row_id, "left")
+        rows.join(rebuilt, "_row", "left")
         .withColumn(tokens, F.coalesce("_words", F.array().cast("array<string>")))
-        .drop("_words")
+        .drop("_words", "_row")
     )
 
 
-def add_nlp_columns(
+def token_rows(
     corpus: DataFrame,
-    lemmas: DataFrame | None = None,
-    row_id: str = "id",
     title: str = "title",
     text: str = "descripcion_limpia",
     language: str = "idioma_det",
     unusable: str = "es_vacio",
 ) -> DataFrame:
-    """Cleaned corpus plus its five token columns.
-
-    Titles are processed on every row, descriptions only on usable ones. Title and
-    description tokens share one array so that a lemma table is joined once.
-    """
+    """The corpus with ``_all``, the content tokens of title and usable text in one array, and
+    ``_n``, how many of them are the title's. A map-only step."""
     lang = F.col(language)
+    none = F.array().cast("array<string>")
     out = corpus.withColumns(
         {
             "_title": content_tokens(F.col(title), lang),
-            "_text": F.when(~F.col(unusable), content_tokens(F.col(text), lang)).otherwise(
-                F.array().cast("array<string>")
-            ),
+            "_text": F.when(~F.col(unusable), content_tokens(F.col(text), lang)).otherwise(none),
         }
     )
-    out = out.withColumns({"_n": F.size("_title"), "_all": F.concat("_title", "_text")}).drop("_title", "_text")
-    if lemmas is not None:
-        out = lemmatize(out, row_id, "_all", language, lemmas)
-    out = out.withColumns(
+    return out.withColumns({"_n": F.size("_title"), "_all": F.concat("_title", "_text")}).drop("_title", "_text")
+
+
+def nlp_columns(rows: DataFrame, unusable: str = "es_vacio") -> DataFrame:
+    """The five token columns in place of ``_all`` and ``_n``."""
+    out = rows.withColumns(
         {
             "titulo_nlp": joined(F.slice("_all", F.lit(1), F.col("_n"))),
             "descripcion_nlp": joined(F.slice("_all", F.col("_n") + 1, F.size("_all"))),
@@ -99,3 +127,15 @@ def add_nlp_columns(
     return out.withColumn(
         "es_vacio_nlp", F.col(unusable) | is_unusable(F.col("n_palabras_nlp"), MIN_TOKENS)
     ).drop("_n", "_all")
+
+
+def add_nlp_columns(corpus: DataFrame, lemmas: DataFrame | None = None, language: str = "idioma_det") -> DataFrame:
+    """Cleaned corpus plus its five token columns.
+
+    Titles are processed on every row, descriptions only on usable ones. Title and
+    description tokens share one array so that a lemma table is looked up once.
+    """
+    out = token_rows(corpus, language=language)
+    if lemmas is not None:
+        out = lemmatize(out, "_all", language, lemmas)
+    return nlp_columns(out)

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmill.functions.tokens import lemma_language
+from jobmill.operators import language
+from jobmill.operators.nlp import lemmatize, nlp_columns, stored, token_rows
 from jobmill.operators.normalize import normalize_listing_batch, normalize_search_batch
-from jobmill.operators.nlp import content_tokens
 from jobmill.plans.corpus import add_clean_columns
-from jobmill.session import shared_dir
-from jobmill.sources.tables import postings
+from jobmill.sources.tables import postings, table
 
 TODAY = "2024-01-31 00:00:00"
 CHECKPOINT = "2024-01-01 12:00:00"
@@ -38,6 +38,24 @@ def labelled_corpus(spark: SparkSession, folder: str) -> DataFrame:
     return add_clean_columns(jobs).withColumn("idioma_det", label_language())
 
 
+def detected_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned postings with the detected language, learned from the labelled documents."""
+    model = language.train(table(spark, folder, "documents"), "text", "lang")
+    cleaned = add_clean_columns(postings(spark, folder, dates=False))
+    return language.detect(cleaned, "descripcion_limpia", ~F.col("es_vacio"), model)
+
+
+def nlp_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The token corpus in full: cleaned, detected, tokenised, with lemmas.
+
+    Tokens are stored once, with the named columns; the lemma table and the result are both
+    made from the stored tokens, so no text is cleaned or scored twice.
+    """
+    rows = token_rows(detected_corpus(spark, folder))
+    kept = stored(rows.select("id", "idioma_det", "es_vacio", "_n", "_all", *columns), "tokens")
+    return nlp_columns(lemmatize(kept, "_all", "idioma_det", plural_lemmas(kept, "_all")))
+
+
 def search_batch(jobs: DataFrame) -> DataFrame:
     raw = jobs.select(
         "id",
@@ -102,18 +120,14 @@ def visit_results(jobs: DataFrame) -> DataFrame:
     )
 
 
-def plural_lemmas(corpus: DataFrame) -> DataFrame:
-    """A lemma table learned from the corpus, stored: a word with a final s
+def plural_lemmas(rows: DataFrame, tokens: str) -> DataFrame:
+    """A lemma table learned from stored rows with tokens, stored: a word with a final s
     goes back to the same word without it when both occur in texts of that language."""
-    tokens = content_tokens(F.col("descripcion_limpia"), F.col("idioma_det"))
-    words = corpus.select(
+    words = rows.select(
         lemma_language(F.col("idioma_det")).alias("lang"), F.explode_outer(tokens).alias("token")
     ).where("token IS NOT NULL").distinct()
     plural = words.where(F.endswith("token", F.lit("s"))).withColumn(
         "lemma", F.expr("substr(token, 1, length(token) - 1)")
     )
     found = plural.join(words.withColumnRenamed("token", "lemma"), ["lang", "lemma"], "left_semi")
-    spark = corpus.sparkSession
-    path = shared_dir(spark, "lemmas")
-    found.select("lang", "token", "lemma").write.parquet(path)
-    return spark.read.schema("lang string, token string, lemma string").parquet(path)
+    return stored(found.select("lang", "token", "lemma"), "lemmas")

@@ -151,12 +151,23 @@ found AS (SELECT id, CASE {BEST} END AS language FROM scored),
 detected AS (SELECT corpus.*, CASE WHEN language IN ('es', 'en') THEN language ELSE 'otro' END AS idioma_det
   FROM corpus LEFT JOIN found USING (id))"""
 CONTENT = long_words(without_stops(tokens("descripcion_limpia"), "idioma"))
-TITLE_CONTENT = long_words(without_stops(tokens("title"), "idioma"))
-NLP = f"""{CLEANED}, nlp AS (SELECT *, es_vacio OR n_palabras_nlp < 5 AS es_vacio_nlp FROM (
-  SELECT *, CASE WHEN es_vacio THEN 0 ELSE len(list_filter(toks, lambda w: w <> '')) END AS n_palabras_nlp,
-    CASE WHEN es_vacio THEN '' ELSE array_to_string(toks, ' ') END AS descripcion_nlp,
-    array_to_string(title_toks, ' ') AS titulo_nlp
-  FROM (SELECT *, {CONTENT} AS toks, {TITLE_CONTENT} AS title_toks FROM corpus)))"""
+TEXT_CONTENT = long_words(without_stops(tokens("descripcion_limpia"), "idioma_det"))
+TITLE_CONTENT = long_words(without_stops(tokens("title"), "idioma_det"))
+# The token corpus in full: detected language, stop words, lemmas learned from the corpus.
+NLP = f"""{DETECTED}, content AS (SELECT *, CASE WHEN idioma_det = 'en' THEN 'en' ELSE 'es' END AS ll,
+    CASE WHEN es_vacio THEN [] ELSE {TEXT_CONTENT} END AS raw_toks, {TITLE_CONTENT} AS raw_title FROM detected),
+vocabulary AS (SELECT DISTINCT ll, unnest(list_concat(raw_title, raw_toks)) AS token FROM content),
+lemmas AS (SELECT p.ll, p.token, s.token AS lemma FROM vocabulary p JOIN vocabulary s ON s.ll = p.ll AND p.token = s.token || 's'),
+placed AS (
+  SELECT id, ll, 'text' AS part, unnest(raw_toks) AS token, unnest(range(len(raw_toks))) AS pos FROM content
+  UNION ALL SELECT id, ll, 'title', unnest(raw_title), unnest(range(len(raw_title))) FROM content),
+rebuilt AS (SELECT id, list(coalesce(lemma, w.token) ORDER BY pos) FILTER (part = 'text') AS toks,
+    list(coalesce(lemma, w.token) ORDER BY pos) FILTER (part = 'title') AS title_toks
+  FROM placed w LEFT JOIN lemmas ON lemmas.ll = w.ll AND lemmas.token = w.token GROUP BY id),
+nlp AS (SELECT *, es_vacio OR n_palabras_nlp < 5 AS es_vacio_nlp FROM (
+  SELECT content.*, coalesce(toks, []) AS toks, len(coalesce(toks, [])) AS n_palabras_nlp,
+    array_to_string(coalesce(toks, []), ' ') AS descripcion_nlp, array_to_string(coalesce(title_toks, []), ' ') AS titulo_nlp
+  FROM content LEFT JOIN rebuilt USING (id)))"""
 LEMMAS = f"""{CLEANED}, content AS (SELECT id, es_vacio, CASE WHEN idioma = 'en' THEN 'en' ELSE 'es' END AS ll, {CONTENT} AS toks FROM corpus),
 vocabulary AS (SELECT DISTINCT ll, unnest(toks) AS token FROM content),
 lemmas AS (SELECT p.ll, p.token, s.token AS lemma FROM vocabulary p JOIN vocabulary s
@@ -222,7 +233,7 @@ def counted_terms(low: int, high: int) -> str:
         f"SELECT id, unnest(list_transform(range(1, len(toks) - {n - 2}), lambda i: array_to_string(toks[i:i + {n - 1}], ' '))) AS term FROM token_rows"
         for n in range(low, high + 1)
     )
-    rows = "token_rows AS (SELECT id, CASE WHEN es_vacio THEN [] ELSE toks END AS toks FROM nlp)"
+    rows = "token_rows AS (SELECT id, toks FROM nlp WHERE NOT es_vacio_nlp)"
     return f"""{NLP}, {rows}, terms AS ({runs}),
     per_text AS (SELECT id, term, count(*) AS tf FROM terms GROUP BY id, term),
     counts AS (SELECT term, cast(sum(tf) AS BIGINT) AS n, count(*) AS n_docs FROM per_text GROUP BY term)"""
@@ -246,6 +257,10 @@ def loads(rows: str, by: str, order: str) -> str:
       cast(count(job_url) - sum(won) AS BIGINT) AS skipped, count(*) - count(job_url) AS rejected FROM ranked {group}"""
 
 
+TFIDF = f"""{counted_terms(1, 3)}, kept AS (SELECT *, ln(((SELECT count(*) FROM token_rows) + 1.0) / (n_docs + 1.0)) + 1.0 AS idf
+    FROM (SELECT * FROM counts ORDER BY n DESC, term LIMIT 5000)),
+  weighted AS (SELECT id, term, n, n_docs, tf * idf AS w FROM per_text JOIN kept USING (term)),
+  norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY id)"""
 NA_CASE = "CASE WHEN {0} NOT IN (" + words(NA_WORDS) + ") THEN {0} END AS {0}"
 DEFAULTED = f"""coalesce(company, 'Empresa confidencial') AS company,
   coalesce(raw_location, 'Ubicación desconocida') AS raw_location"""
@@ -333,8 +348,7 @@ ORACLES: dict[str, str] = {
         cast(n_palabras AS INTEGER) AS n_palabras, description AS descripcion_raw, descripcion_limpia,
         CASE WHEN es_vacio THEN title ELSE coalesce(title, '') || '. ' || descripcion_limpia END AS titulo_desc, status
       FROM located""",
-    "nlp_corpus": NLP.replace(CLEANED, DETECTED).replace("idioma WHEN", "idioma_det WHEN").replace("FROM corpus)", "FROM detected)")
-    + """ SELECT id, idioma_det, descripcion_nlp, titulo_nlp, trim(titulo_nlp || ' ' || descripcion_nlp) AS texto_nlp,
+    "nlp_corpus": f"""{NLP} SELECT id, idioma_det, descripcion_nlp, titulo_nlp, trim(titulo_nlp || ' ' || descripcion_nlp) AS texto_nlp,
       cast(n_palabras_nlp AS INTEGER) AS n_palabras_nlp, es_vacio_nlp FROM nlp""",
     "tokenize": f"""{CLEANED} SELECT id, cast(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens
       FROM (SELECT id, {tokens("descripcion_limpia")} AS t FROM corpus)""",
@@ -343,8 +357,7 @@ ORACLES: dict[str, str] = {
     "token_filter": f"""{CLEANED} SELECT id, cast(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens
       FROM (SELECT id, {long_words(tokens("descripcion_limpia"))} AS t FROM corpus)""",
     "lemmatize": f"""{LEMMAS} SELECT content.id, coalesce(lemmas, '') AS lemmas FROM content LEFT JOIN rebuilt USING (id)""",
-    "nlp_text": f"""{LEMMAS} SELECT content.id, CASE WHEN es_vacio THEN '' ELSE coalesce(lemmas, '') END AS descripcion_nlp
-      FROM content LEFT JOIN rebuilt USING (id)""",
+    "nlp_text": f"{NLP} SELECT id, descripcion_nlp FROM nlp",
     "nlp_title": f"{NLP} SELECT id, titulo_nlp FROM nlp",
     "nlp_combined": f"{NLP} SELECT id, trim(titulo_nlp || ' ' || descripcion_nlp) AS texto_nlp FROM nlp",
     "nlp_flags": f"{NLP} SELECT id, cast(n_palabras_nlp AS INTEGER) AS n_palabras_nlp, es_vacio_nlp FROM nlp",
@@ -414,12 +427,12 @@ ORACLES: dict[str, str] = {
     "nlp_summary": f"""{NLP} SELECT count(*) AS total, count(*) FILTER (NOT es_vacio_nlp) AS usable_nlp,
       {pct("count(*) FILTER (NOT es_vacio_nlp)", "count(*)")} AS usable_nlp_pct,
       count(*) FILTER (es_vacio_nlp) AS empty_nlp, count(*) FILTER (es_vacio_nlp AND NOT es_vacio) AS newly_empty FROM nlp""",
-    "nlp_language_dist": f"{NLP} {shares('nlp', 'idioma', 'es_vacio_nlp')}",
+    "nlp_language_dist": f"{NLP} {shares('nlp', 'idioma_det', 'es_vacio_nlp')}",
     "median_tokens_by_career": f"""{NLP} SELECT career, cast(median(n_palabras_nlp) AS DOUBLE) AS median_words FROM nlp
       WHERE NOT es_vacio_nlp GROUP BY career ORDER BY median_words DESC, career LIMIT 10""",
     "before_after_sample": f"""{NLP}, {region_sql().replace("FROM jobs", "FROM nlp")}
       SELECT id, career, city, left(descripcion_limpia, 120) AS before_text, left(descripcion_nlp, 120) AS after_text
-      FROM located WHERE NOT es_vacio_nlp AND idioma = 'es'
+      FROM located WHERE NOT es_vacio_nlp AND idioma_det = 'es'
       ORDER BY md5(concat(cast(id AS VARCHAR), ':42')), id LIMIT 3""",
     "followup_score": f"""{JOBS}, aged AS (SELECT id, company, title, status,
         {{0}} AS days_since_update, {{1}} AS applied FROM jobs WHERE status IN ('APPLIED', 'SCREENING', 'INTERVIEW'))
@@ -467,12 +480,9 @@ ORACLES: dict[str, str] = {
     "term_frequencies": f"{counted_terms(1, 1)} SELECT * FROM counts",
     "bow_top_terms": f"{counted_terms(1, 1)} SELECT * FROM counts ORDER BY n DESC, term LIMIT 3000",
     "ngram_counts": f"{counted_terms(2, 3)} SELECT * FROM counts",
-    "tfidf_top_terms": f"""{counted_terms(1, 3)}, kept AS (SELECT *, ln(((SELECT count(*) FROM nlp) + 1.0) / (n_docs + 1.0)) + 1.0 AS idf
-        FROM (SELECT * FROM counts ORDER BY n DESC, term LIMIT 5000)),
-      weighted AS (SELECT id, term, n, n_docs, tf * idf AS w FROM per_text JOIN kept USING (term)),
-      norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY id)
-      SELECT term, any_value(n) AS n, any_value(n_docs) AS n_docs, round(sum(w / norm), 6) AS tfidf
+    "tfidf_top_terms": f"""{TFIDF} SELECT term, any_value(n) AS n, any_value(n_docs) AS n_docs, round(sum(w / norm), 6) AS tfidf
       FROM weighted JOIN norms USING (id) GROUP BY term""",
+    "tfidf_matrix": f"{TFIDF} SELECT id, term, round(w / norm, 6) AS weight FROM weighted JOIN norms USING (id)",
     "stream_export_rows": f"""{EXPORT} SELECT id, site, status, {HAS_SALARY}, {DAY} AS ingestion_date FROM exported""",
     "stream_enrich_update": UPDATED_ROWS,
 }

@@ -258,7 +258,7 @@ def cleaned_corpus(spark, folder):
 
 @query
 def nlp_corpus(spark, folder):
-    return corpus.nlp_corpus(cleaned_corpus(spark, folder)).select(
+    return I.nlp_rows(spark, folder).select(
         "id", "idioma_det", "descripcion_nlp", "titulo_nlp", "texto_nlp", "n_palabras_nlp", "es_vacio_nlp"
     )
 
@@ -293,34 +293,29 @@ def lemmatize(spark, folder):
     tokens = rows.select(
         "id", "idioma_det", nlp.content_tokens(F.col("descripcion_limpia"), F.col("idioma_det")).alias("tokens")
     )
-    done = nlp.lemmatize(tokens, "id", "tokens", "idioma_det", I.plural_lemmas(rows))
+    tokens = nlp.stored(tokens, "tokens")
+    done = nlp.lemmatize(tokens, "tokens", "idioma_det", I.plural_lemmas(tokens, "tokens"))
     return done.select("id", N.joined(F.col("tokens")).alias("lemmas"))
 
 
-def _nlp(spark, folder):
-    rows = I.labelled_corpus(spark, folder)
-    return nlp.add_nlp_columns(rows, I.plural_lemmas(rows))
-
-
 @query
 def nlp_text(spark, folder):
-    return _nlp(spark, folder).select("id", "descripcion_nlp")
+    return I.nlp_rows(spark, folder).select("id", "descripcion_nlp")
 
 
 @query
 def nlp_title(spark, folder):
-    return nlp.add_nlp_columns(I.labelled_corpus(spark, folder)).select("id", "titulo_nlp")
+    return I.nlp_rows(spark, folder).select("id", "titulo_nlp")
 
 
 @query
 def nlp_combined(spark, folder):
-    return nlp.add_nlp_columns(I.labelled_corpus(spark, folder)).select("id", "texto_nlp")
+    return I.nlp_rows(spark, folder).select("id", "texto_nlp")
 
 
 @query
 def nlp_flags(spark, folder):
-    rows = nlp.add_nlp_columns(I.labelled_corpus(spark, folder))
-    return rows.select("id", "n_palabras_nlp", "es_vacio_nlp")
+    return I.nlp_rows(spark, folder).select("id", "n_palabras_nlp", "es_vacio_nlp")
 
 
 # --- filters -------------------------------------------------------------------------
@@ -481,24 +476,22 @@ def language_dist(spark, folder):
 
 @query
 def nlp_summary(spark, folder):
-    return audit.nlp_summary(nlp.add_nlp_columns(I.labelled_corpus(spark, folder)))
+    return audit.nlp_summary(I.nlp_rows(spark, folder))
 
 
 @query
 def nlp_language_dist(spark, folder):
-    rows = nlp.add_nlp_columns(I.labelled_corpus(spark, folder))
-    return audit.language_shares(rows, "idioma_det", "es_vacio_nlp")
+    return audit.language_shares(I.nlp_rows(spark, folder), "idioma_det", "es_vacio_nlp")
 
 
 @query
 def median_tokens_by_career(spark, folder):
-    rows = nlp.add_nlp_columns(I.labelled_corpus(spark, folder))
-    return audit.median_by(rows, "career", "n_palabras_nlp", "es_vacio_nlp")
+    return audit.median_by(I.nlp_rows(spark, folder, "career"), "career", "n_palabras_nlp", "es_vacio_nlp")
 
 
 @query
 def before_after_sample(spark, folder):
-    return rank.before_after(nlp.add_nlp_columns(I.labelled_corpus(spark, folder)))
+    return rank.before_after(I.nlp_rows(spark, folder, "career", "city", "descripcion_limpia"))
 
 
 @query
@@ -579,8 +572,9 @@ def page_fields(spark, folder):
 
 
 def _token_rows(spark, folder):
-    rows = nlp.add_nlp_columns(I.labelled_corpus(spark, folder))
-    return rows.select("id", F.filter(F.split("descripcion_nlp", " "), lambda w: w != "").alias("tokens"))
+    """Tokens of the usable rows, stored: term statistics read them more than once."""
+    rows = I.nlp_rows(spark, folder).where("NOT es_vacio_nlp")
+    return nlp.stored(rows.select("id", F.split("descripcion_nlp", " ").alias("tokens")), "token-rows")
 
 
 @query
@@ -600,7 +594,12 @@ def ngram_counts(spark, folder):
 
 @query
 def tfidf_top_terms(spark, folder):
-    return features.tfidf_top(_token_rows(spark, folder), "id", "tokens")
+    return features.tfidf_top(_token_rows(spark, folder), "tokens")
+
+
+@query
+def tfidf_matrix(spark, folder):
+    return features.tfidf_matrix(_token_rows(spark, folder), "id", "tokens")
 
 
 @query

@@ -287,3 +287,18 @@ def test_plans(spark, folder):
     # A filter on the cleaned text must not multiply the cleaning chain.
     filtered = plan(cleaned.where("length(c) > 3"))
     assert filtered.count("https?") <= 2 * text.count("https?") + 2
+
+
+def test_lemmas_in_place_equal_the_join(spark):
+    rows = [(1, ["gatos", "perro"], "es"), (1, ["x", "gatos"], "en"), (None, [], "es"), (None, ["gatos"] * 3, None), (2, ["cats", "gatos"], "en")]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>, lang string")
+    lemmas = spark.createDataFrame(
+        [("es", "gatos", "gato"), ("es", "gatos", "gata"), ("en", "cats", "cat"), ("en", "x", "x")], "lang string, token string, lemma string"
+    )
+    expected = sorted(map(str, [(1, ["gata", "perro"]), (1, ["x", "gatos"]), (None, []), (None, ["gata"] * 3), (2, ["cat", "gatos"])]))
+    for most in (100, 0):
+        got = nlp.lemmatize(df, "tokens", "lang", lemmas, most).select("id", "tokens").collect()
+        assert sorted(str(tuple(r)) for r in got) == expected
+    assert nlp.lemmatize(df.limit(0), "tokens", "lang", lemmas).count() == 0
+    plan = nlp.lemmatize(df, "tokens", "lang", lemmas)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
