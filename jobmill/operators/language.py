@@ -10,7 +10,7 @@ is scored against the weight table instead.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -26,6 +26,8 @@ BASE = len(LETTERS) + 1
 LANGUAGES = ("de", "en", "es", "fr")
 REPORTED = ("es", "en")
 OTHER = "otro"
+#: Deviations below its language's own texts from which a text is of no known language.
+FAR = 3.0
 MIN_CHARS = 20
 
 
@@ -73,16 +75,39 @@ def gram_numbers(text: str, numbers: np.ndarray) -> np.ndarray:
     return (place[middle - 1] * BASE + place[middle]) * BASE + place[middle + 1]
 
 
+def best_score(grams: np.ndarray, weights: np.ndarray) -> tuple[int, int, float, float]:
+    """The likeliest language, the number of trigrams, and mean and variance of their scores in it.
+
+    A trigram that no language has scores as the rarest does.
+    """
+    own = weights[grams]
+    best = int(own.sum(axis=0).argmax())
+    scores = own[:, best]
+    scores = np.where(scores == 0, weights[:, best].min(), scores)
+    return best, len(grams), float(scores.mean()), float(scores.var())
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """``weights[gram number, language]``: smoothed log probability; 0 for unknown trigrams."""
+    """``weights[gram number, language]``: smoothed log probability; 0 for unknown trigrams.
+
+    ``limits``, where there are any, have for each language how its own texts score: the mean
+    of a text's mean score, its spread from text to text, and that from trigram to trigram.
+    """
 
     languages: tuple[str, ...]
     weights: np.ndarray
+    limits: np.ndarray | None = None
 
     def language(self, text: Column) -> Column:
-        """The most likely language; null for a text without a trigram. Ties go by code."""
-        languages, weights = self.languages, self.weights
+        """The most likely language; null for a text without a trigram. Ties go by code.
+
+        With limits, a text that scores far below its language's own texts is of no known
+        language, and null as well. A short text may score lower than a long one.
+        """
+        languages, weights, limits = self.languages, self.weights, self.limits
+        if not languages:
+            return F.lit(None).cast("string")
 
         @F.pandas_udf("string")
         def best(texts: pd.Series) -> pd.Series:
@@ -90,7 +115,16 @@ class LanguageModel:
             found: list[str | None] = []
             for value in texts:
                 grams = gram_numbers(value, numbers) if value else ()
-                found.append(languages[int(weights[grams].sum(axis=0).argmax())] if len(grams) else None)
+                if not len(grams):
+                    found.append(None)
+                    continue
+                best, n, mean, _ = best_score(grams, weights)
+                if limits is not None:
+                    middle, between, within = limits[best]
+                    if mean < middle - FAR * np.sqrt(between**2 + within**2 / n):
+                        found.append(None)
+                        continue
+                found.append(languages[best])
             return pd.Series(found, dtype=object)
 
         return best(text)
@@ -112,6 +146,51 @@ def train(labelled: DataFrame, text: str, label: str, languages: Sequence[str] =
     return fit(profile(labelled, text, label, languages), languages)
 
 
+def train_open(labelled: DataFrame, text: str, label: str) -> LanguageModel:
+    """A model of whatever labels the table has, with limits from texts it was not trained on.
+
+    A fifth of the texts, chosen by hash, is held out: how each language's own texts score
+    there sets the limits. One small row per held-out text is grouped by label; the labels,
+    their limits and the profile are all that reaches the driver. Rows without a label or
+    text take no part.
+    """
+    rows = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+    languages = tuple(sorted(r[0] for r in rows.select(label).distinct().collect()))
+    if not languages:
+        return LanguageModel((), np.zeros((0, 0)))
+    part = F.pmod(F.xxhash64(F.col(text), F.lit("held out")), F.lit(5))
+    model = train(rows.where(part > 0), text, label, languages)
+    weights = model.weights
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        numbers = letter_numbers()
+        for batch in batches:
+            out = []
+            for value, own in zip(batch["text"], batch["label"], strict=True):
+                grams = gram_numbers(value, numbers)
+                if len(grams):
+                    best, n, mean, variance = best_score(grams, weights)
+                    if languages[best] == own:
+                        out.append((own, n, mean, variance))
+            yield pd.DataFrame(out, columns=["label", "n", "mean", "variance"])
+
+    held = rows.where(part == 0).select(F.col(text).alias("text"), F.col(label).alias("label"))
+    measured = held.mapInPandas(measure, "label string, n long, mean double, variance double")
+    # Of the spread of the means, what comes from few trigrams is counted by length.
+    found = measured.groupBy("label").agg(
+        F.avg("mean").alias("middle"),
+        F.coalesce(F.var_pop("mean"), F.lit(0.0)).alias("all"),
+        F.avg(F.col("variance") / F.col("n")).alias("short"),
+        F.avg("variance").alias("within"),
+    )
+    limits = np.full((len(languages), 3), -np.inf)
+    limits[:, 1:] = 0
+    for r in found.collect():
+        between = max(r["all"] - r["short"], 0.0)
+        limits[languages.index(r["label"])] = r["middle"], between**0.5, r["within"] ** 0.5
+    return LanguageModel(languages, weights, limits)
+
+
 def reported(language: Column) -> Column:
     """``es`` and ``en`` are told apart; anything else, unknown included, is ``otro``."""
     return F.when(language.isin(*REPORTED), language).otherwise(F.lit(OTHER))

@@ -288,6 +288,12 @@ ORACLES: dict[str, str] = {
       count(DISTINCT {DAY}) AS partitions, strftime(max(date_scraped), {TIME}) AS checkpoint FROM exported""",
     "export_verify_counts": f"""{EXPORT} SELECT {DAY} AS ingestion_date, count(*) AS expected, count(*) AS written,
       true AS verified FROM exported GROUP BY 1""",
+    "export_two_runs": f"""{EXPORT}, early AS (SELECT * FROM exported WHERE date_scraped IS NULL OR date_scraped <= TIMESTAMP '{CHECKPOINT}'),
+      late AS (SELECT * FROM exported WHERE date_scraped > (SELECT max(date_scraped) FROM early)),
+      runs AS (SELECT 1 AS run_no, * FROM early UNION ALL SELECT 2, * FROM late)
+      SELECT run_no, count(*) AS records, cast(20 AS BIGINT) AS columns, count(DISTINCT {DAY}) AS partitions, true AS files_fit,
+        true AS verified, strftime(max(date_scraped), {TIME}) AS checkpoint,
+        (SELECT count(*) FROM runs) AS committed FROM runs GROUP BY run_no""",
     "incremental_export": f"""{EXPORT} SELECT id, site, job_url, status, {HAS_SALARY},
       strftime(date_scraped, {TIME}) AS date_scraped FROM exported WHERE date_scraped > TIMESTAMP '{CHECKPOINT}'""",
     "sample_exact": f"""{JOBS} SELECT id, site, title, career FROM jobs
@@ -485,5 +491,6 @@ ORACLES: dict[str, str] = {
     "tfidf_matrix": f"{TFIDF} SELECT id, term, round(w / norm, 6) AS weight FROM weighted JOIN norms USING (id)",
     "stream_export_rows": f"""{EXPORT} SELECT id, site, status, {HAS_SALARY}, {DAY} AS ingestion_date FROM exported""",
     "stream_enrich_update": UPDATED_ROWS,
+    "stream_first_within": "SELECT event_id, event_type FROM events WHERE ts IS NOT NULL",
 }
 ORACLES["stream_insert_new"] = ORACLES["insert_new_only"]

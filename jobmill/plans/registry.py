@@ -92,6 +92,22 @@ def export_verify_counts(spark, folder):
     return lake.verify(rows, lake.read_partitions(spark, path, rows.schema))
 
 
+@query
+def export_two_runs(spark, folder):
+    """Two export runs over a table that grows between them, and what the commits then hold."""
+    jobs = postings(spark, folder)
+    base = shared_dir(spark, "export-runs")
+    early = jobs.where(F.col("date_scraped").isNull() | (F.col("date_scraped") <= I.moment(I.CHECKPOINT)))
+    runs = None
+    for number, source in enumerate((early, jobs), 1):
+        done = lake.run_export(source, f"{base}/lake", f"{base}/checkpoint", run=f"run{number}")
+        files_fit = (F.col("files") >= F.col("partitions")).alias("files_fit")
+        done = done.select(F.lit(number).alias("run_no"), "records", "columns", "partitions", files_fit, "verified", I.time_text("checkpoint"))
+        runs = done if runs is None else runs.unionByName(done)
+    held = lake.read_committed(spark, f"{base}/lake", lake.export_rows(jobs).schema)
+    return runs.withColumn("committed", F.lit(held.count()).cast("long"))
+
+
 @query
 def incremental_export(spark, folder):
     rows = lake.export_rows(postings(spark, folder), I.moment(I.CHECKPOINT))
@@ -239,6 +255,15 @@ def lang_profile(spark, folder):
     return language.profile(table(spark, folder, "documents"), "text", "lang")
 
 
+@query
+def lang_open_set(spark, folder):
+    """Every document's language by a model that never saw French: a label, or ``otro`` for none of them."""
+    docs = table(spark, folder, "documents")
+    model = language.train_open(docs.where("lang <> 'fr'"), "text", "lang")
+    found = F.coalesce(model.language(F.col("text")), F.lit(language.OTHER))
+    return docs.select("doc_id", "lang", found.alias("detected"))
+
+
 @query
 def lang_detect(spark, folder):
     model = language.train(table(spark, folder, "documents"), "text", "lang")
@@ -637,15 +662,35 @@ def stream_export_rows(spark, folder):
 def stream_insert_new(spark, folder):
     rows = undated(spark, folder)
     base = shared_dir(spark, "stream-insert")
-    _drops(I.search_batch(rows), f"{base}/in")
+    # The second drop repeats links of the first, so its batches meet what is stored already.
+    batch, repeats = I.search_batch(rows), F.col("id") % 10 == 9
+    for part in (~repeats, repeats):
+        batch.where(part).repartition(2, "id").write.mode("append").parquet(f"{base}/in")
     schema = spark.read.parquet(f"{base}/in").schema
-    drops = stream_export.read_drops(spark, f"{base}/in", schema)
+    drops = stream_export.read_drops(spark, f"{base}/in", schema, files_per_batch=1)
     stream_load.start_insert(
         drops, f"{base}/table", f"{base}/checkpoint", ["id"], seed=I.stored_links(rows)
     ).awaitTermination()
     return stream_load.read_table(spark, f"{base}/table", schema).select("id", "job_url", "title", "company", "status")
 
 
+@query
+def stream_first_within(spark, folder):
+    """Events in three drops by time, each with all events of the drop before once more: every event comes once."""
+    events = table(spark, folder, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    base = shared_dir(spark, "stream-within")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    third = [low + (high - low) * i / 3 for i in range(3)] + [high]
+    parts = [events.where((F.col("ts") >= a) & (F.col("ts") < b)) for a, b in zip(third[:-2], third[1:-1], strict=True)]
+    parts.append(events.where(F.col("ts") >= third[2]))
+    for i, part in enumerate(parts):
+        drop = part if i == 0 else part.unionByName(parts[i - 1])
+        drop.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    drops = stream_export.read_drops(spark, f"{base}/in", events.schema, files_per_batch=1)
+    stream_load.start_first_within(drops, f"{base}/out", f"{base}/checkpoint", "ts", "1 day", "event_id").awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{base}/out").select("event_id", "event_type")
+
+
 @query
 def stream_enrich_update(spark, folder):
     jobs = postings(spark, folder)

@@ -16,7 +16,13 @@ from jobmill.sources.csv_files import CSV, flags_as_words
 PARTITION = "ingestion_date"
 UNKNOWN = "unknown"
 RUN = "export_run"
-SUMMARY = "records long, columns long, partitions long, checkpoint timestamp_ntz"
+SUMMARY = "records long, columns long, partitions long, files long, verified boolean, checkpoint timestamp_ntz"
+MANIFEST = f"{PARTITION} string, file string, records long, newest timestamp_ntz"
+COMMITS = "_commits"
+
+
+class ExportMismatch(RuntimeError):
+    """The files of a run do not hold what was to be exported; the run is not committed."""
 
 
 def export_rows(jobs: DataFrame, after: Column | datetime | None = None) -> DataFrame:
@@ -111,26 +117,93 @@ def write_checkpoint(spark: SparkSession, path: str, when: datetime) -> None:
     spark.createDataFrame([(when,)], "date_scraped timestamp_ntz").coalesce(1).write.mode("overwrite").parquet(path)
 
 
+def manifest(written: DataFrame) -> DataFrame:
+    """Records and newest time of every file, read back from the files of a run."""
+    return written.groupBy(PARTITION, F.input_file_name().alias("file")).agg(
+        F.count(F.lit(1)).alias("records"), F.max("date_scraped").alias("newest")
+    )
+
+
+def commits(spark: SparkSession, path: str) -> DataFrame:
+    """Manifest rows of all committed runs; none before the first commit."""
+    schema = f"{MANIFEST}, {RUN} string"
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/{COMMITS}")
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def read_committed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """Rows of committed runs only: what a failed or unfinished run left behind is not seen."""
+    fields = T.StructType([*schema.fields, T.StructField(RUN, T.StringType())])
+    rows = read_partitions(spark, path, fields, fmt)
+    return rows.join(commits(spark, path).select(RUN).distinct(), RUN, "left_semi").select(*schema.names, PARTITION)
+
+
+def commit(found: DataFrame, path: str, run: str) -> None:
+    """Phase two: the run's manifest enters the list of commits as one folder, which is what makes the run count.
+
+    The folder is written aside and renamed, so that it is there in full or not at all.
+    """
+    spark = found.sparkSession
+    aside, final = f"{path}/_pending/{RUN}={run}", f"{path}/{COMMITS}/{RUN}={run}"
+    found.write.mode("overwrite").parquet(aside)
+    files = spark._jvm.org.apache.hadoop.fs.Path(final).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{COMMITS}"))
+    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), spark._jvm.org.apache.hadoop.fs.Path(final)):
+        raise ExportMismatch(f"run {run} is committed already")
+
+
+def recover(spark: SparkSession, path: str, checkpoint: str) -> datetime | None:
+    """The checkpoint, moved first if a committed run ended before it could move it."""
+    known = read_checkpoint(spark, checkpoint)
+    newest = commits(spark, path).agg(F.max("newest").alias("t")).first()["t"]
+    if known is not None and newest is not None and newest > known:
+        write_checkpoint(spark, checkpoint, newest)
+        return newest
+    return known
+
+
 def run_export(
     jobs: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", run: str | None = None, dry_run: bool = False
 ) -> DataFrame:
-    """Export what came after the checkpoint; the checkpoint moves last.
-
-    The summary and the new checkpoint are read back from the files of this run, so
-    rows that arrive meanwhile are never counted as exported. A dry run writes
-    nothing and returns a preview of three rows.
+    """Export what came after the checkpoint, in two phases; the checkpoint moves last.
+
+    First the files are written below the run, and a manifest is read back from them: records
+    and newest time by file. Its counts must equal those of the rows to export on every day;
+    if not, ``ExportMismatch`` is raised, and neither commit nor checkpoint changes. Then the
+    manifest is committed, and the checkpoint moves to its newest time. A run that ends
+    between the two is finished by the next. A dry run writes nothing and returns a preview
+    of three rows.
     """
     spark = jobs.sparkSession
-    rows = export_rows(jobs, read_checkpoint(spark, checkpoint))
     if dry_run:
+        rows = export_rows(jobs, read_checkpoint(spark, checkpoint))
         return rows.orderBy(F.desc("date_scraped"), "id").limit(3)
+    rows = export_rows(jobs, recover(spark, path, checkpoint))
     run = run or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
     write_partitions(rows, path, fmt, run=run)
+    nothing = spark.createDataFrame([(0, len(rows.columns), 0, 0, True, None)], SUMMARY)
     try:
         written = read_partitions(spark, path, rows.schema, fmt, run)
-        summary = export_summary(written, len(rows.columns)).first()
     except AnalysisException:  # nothing was ever written
-        return spark.createDataFrame([(0, len(rows.columns), 0, None)], SUMMARY)
-    if summary["checkpoint"] is not None:
-        write_checkpoint(spark, checkpoint, summary["checkpoint"])
-    return spark.createDataFrame([tuple(summary)], SUMMARY)
+        if rows.isEmpty():
+            return nothing
+        raise
+    aside = f"{path}/_manifests/{RUN}={run}"
+    manifest(written).write.parquet(aside)
+    found = spark.read.schema(MANIFEST).parquet(aside)
+    days = found.groupBy(PARTITION).agg(F.sum("records").alias("written"))
+    expected = partition_counts(rows)
+    wrong = expected.join(days, PARTITION, "full_outer").where("NOT n <=> written").limit(5).collect()
+    if wrong:
+        raise ExportMismatch("; ".join(f"{r[PARTITION]}: {r['n']} rows, {r['written']} written" for r in wrong))
+    total = found.agg(
+        F.coalesce(F.sum("records"), F.lit(0)), F.countDistinct(PARTITION), F.count(F.lit(1)), F.max("newest")
+    ).first()
+    if not total[0]:
+        return nothing
+    commit(found, path, run)
+    if total[3] is not None:
+        write_checkpoint(spark, checkpoint, total[3])
+    return spark.createDataFrame([(total[0], len(rows.columns), total[1], total[2], True, total[3])], SUMMARY)

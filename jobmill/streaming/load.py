@@ -56,6 +56,25 @@ def start_insert(
     )
 
 
+def start_first_within(
+    rows: DataFrame, path: str, checkpoint: str, time: str, delay: str, key: str = "job_url"
+) -> StreamingQuery:
+    """Append the first row of every key; a key is remembered until the watermark is ``delay`` past it.
+
+    Rows older than the watermark are left out, so the state is bounded by ``delay`` and not
+    by the keys ever seen.
+    """
+    return (
+        first_within(rows, time, delay, key)
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def first_within(postings: DataFrame, time: str, delay: str, key: str = "job_url") -> DataFrame:
     """Bounded-state form: a key repeated within ``delay`` is dropped, older keys are forgotten."""
     return postings.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])

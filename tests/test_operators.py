@@ -302,3 +302,69 @@ def test_lemmas_in_place_equal_the_join(spark):
     assert nlp.lemmatize(df.limit(0), "tokens", "lang", lemmas).count() == 0
     plan = nlp.lemmatize(df, "tokens", "lang", lemmas)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Generate" not in plan
+
+
+def test_a_failed_check_leaves_commits_and_checkpoint(spark, folder, tmp_path, monkeypatch):
+    from jobmill.sources import lake
+
+    jobs = postings(spark, folder)
+    path, checkpoint = str(tmp_path / "lake"), str(tmp_path / "mark")
+    early = jobs.where("date_scraped <= TIMESTAMP_NTZ'2024-01-01 12:00:00'")
+    lake.run_export(early, path, checkpoint, run="one")
+    before = lake.read_checkpoint(spark, checkpoint)
+    schema = lake.export_rows(jobs).schema
+    held = lake.read_committed(spark, path, schema).count()
+    write = lake.write_partitions
+    with monkeypatch.context() as m:
+        m.setattr(lake, "write_partitions", lambda rows, *a, **k: write(rows.where("id % 7 <> 0"), *a, **k))
+        with pytest.raises(lake.ExportMismatch):
+            lake.run_export(jobs, path, checkpoint, run="two")
+    assert lake.read_checkpoint(spark, checkpoint) == before
+    assert lake.read_committed(spark, path, schema).count() == held
+    assert {r[0] for r in lake.commits(spark, path).select(lake.RUN).distinct().collect()} == {"one"}
+    # A run that ends between commit and checkpoint is finished by the next one.
+    with monkeypatch.context() as m:
+        m.setattr(lake, "write_checkpoint", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            lake.run_export(jobs, path, checkpoint, run="three")
+    assert lake.read_checkpoint(spark, checkpoint) == before
+    assert lake.run_export(jobs, path, checkpoint, run="four").first()["records"] == 0
+    assert lake.read_checkpoint(spark, checkpoint) > before
+    later = lake.export_rows(jobs).where(F.col("date_scraped") > before).count()
+    assert lake.read_committed(spark, path, schema).count() == held + later
+
+
+@pytest.mark.parametrize("unseen", ["fr", "de"])
+def test_texts_of_an_unseen_language_are_of_none(spark, folder, unseen):
+    docs = spark.read.parquet(folder.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    model = language.train_open(docs.where(F.col("lang") != unseen), "text", "lang")
+    found = docs.select("lang", model.language(F.col("text")).alias("found")).collect()
+    assert unseen not in model.languages
+    other = [r["found"] is None for r in found if r["lang"] == unseen]
+    lost = [r["found"] != r["lang"] for r in found if r["lang"] != unseen]
+    assert sum(other) >= 0.9 * len(other) and sum(lost) <= 0.05 * len(lost)
+
+
+def test_open_set_of_odd_tables(spark):
+    rows = [("uno dos tres cuatro", "es"), (None, "es"), ("x", None), ("123", "en"), ("", "en")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    for table_ in (docs, docs.limit(0)):
+        model = language.train_open(table_, "text", "lang")
+        assert docs.select(model.language(F.col("text"))).count() == 5
+
+
+def test_state_of_the_bounded_stream(spark, tmp_path):
+    rows = spark.range(4000).select(
+        F.col("id").alias("k"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("id"))).alias("ts")
+    )
+    for i in range(4):
+        part = rows.where((F.col("k") >= 1000 * i) & (F.col("k") < 1000 * (i + 1)))
+        late = rows.where((F.col("k") >= 1000 * (i - 1)) & (F.col("k") < 1000 * i))
+        part.unionByName(late).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    drops = export.read_drops(spark, str(tmp_path / "in"), rows.schema, files_per_batch=1)
+    stream = stream_load.start_first_within(drops, str(tmp_path / "out"), str(tmp_path / "mark"), "ts", "2 days", "k")
+    stream.awaitTermination()
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert written.count() == written.select("k").distinct().count() == 4000
+    sizes = [p["stateOperators"][0]["numRowsTotal"] for p in stream.recentProgress if p["stateOperators"]]
+    assert max(sizes) < 3000 and sizes[-1] < 1500

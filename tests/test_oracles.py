@@ -8,7 +8,7 @@ from jobmill.plans.oracles import ORACLES
 from jobmill.plans.registry import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-MODELS = {"lda_topics", "kmeans_cosine"}
+MODELS = {"lda_topics", "kmeans_cosine", "lang_open_set"}
 
 
 @pytest.fixture(scope="module")
