@@ -1,24 +1,25 @@
 """Postings from stored web pages: listing cards and detail descriptions.
 
-Selectors need a document tree, which no built-in expression offers. A small helper
-turns one page into plain fields inside ``mapInPandas``; every rule on those fields
-is a native expression. Pages never meet: there is no shuffle.
+A small helper lists a page's tags and texts by position. A tag spans the positions inside it,
+so selectors, n-th matches and fields are comparisons of spans: native expressions over the
+page's own lists. Pages never meet: there is no shuffle.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmill.functions.html import visible_text
 from jobmill.functions.postings import absolute_url, numbered_url
 from jobmill.functions.salary import first_amount, parse_salary
+from jobmill.functions.text import bind
 
 # Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -95,167 +96,175 @@ OCC = Profile(
 )
 
 
-class Node:
-    __slots__ = ("tag", "attrs", "parent", "kids")
+class TagReader(HTMLParser):
+    """Start tags and texts of a page by position; a tag spans the positions from its own to ``post``.
 
-    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
-        self.tag, self.attrs, self.parent, self.kids = tag, attrs, parent, []
-
-    def walk(self) -> Iterator[Node]:
-        todo = [k for k in reversed(self.kids) if isinstance(k, Node)]
-        while todo:
-            node = todo.pop()
-            yield node
-            todo.extend(k for k in reversed(node.kids) if isinstance(k, Node))
-
-    def pieces(self) -> list[str]:
-        """Trimmed, non-empty texts below this node, scripts and styles left out."""
-        out: list[str] = []
-        todo: list = list(reversed(self.kids))
-        while todo:
-            kid = todo.pop()
-            if isinstance(kid, str):
-                if kid.strip():
-                    out.append(kid.strip())
-            elif kid.tag not in ("script", "style"):
-                todo.extend(reversed(kid.kids))
-        return out
-
-
-class Tree(HTMLParser):
-    """Document tree; an end tag closes everything up to its nearest open start tag."""
+    An end tag closes everything up to its nearest open start tag. Texts are trimmed; empty
+    ones and those of scripts and styles are left out.
+    """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.root = self.here = Node("", {}, None)
+        self.tags, self.texts, self.open, self.at = [], [], [], 0
         self.feed(html)
         self.close()
+        self.end_all(0)
+
+    def end_all(self, depth: int) -> None:
+        while len(self.open) > depth:
+            self.open.pop()["post"] = self.at - 1
 
     def handle_starttag(self, tag, attrs):
-        node = Node(tag, {k: v or "" for k, v in attrs}, self.here)
-        self.here.kids.append(node)
+        parent = self.open[-1]["pre"] if self.open else -1
+        row = {"pre": self.at, "post": self.at, "parent": parent, "tag": tag, "attrs": {k: v or "" for k, v in attrs}}
+        self.tags.append(row)
+        self.at += 1
         if tag not in VOID:
-            self.here = node
+            self.open.append(row)
 
     def handle_endtag(self, tag):
-        node = self.here
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.here = node.parent
+        depth = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i]["tag"] == tag), None)
+        if depth is not None:
+            self.end_all(depth)
 
     def handle_data(self, data):
-        self.here.kids.append(data)
+        if data.strip() and not any(t["tag"] in ("script", "style") for t in self.open):
+            self.texts.append({"pos": self.at, "text": data.strip()})
+            self.at += 1
+
+
+MAP = pa.map_(pa.string(), pa.string())
+TAG = pa.struct([("pre", pa.int32()), ("post", pa.int32()), ("parent", pa.int32()), ("tag", pa.string()), ("attrs", MAP)])
+PAGE = pa.struct([("tags", pa.list_(TAG)), ("texts", pa.list_(pa.struct([("pos", pa.int32()), ("text", pa.string())])))])
+PAGE_SQL = (
+    "struct<tags:array<struct<pre:int,post:int,parent:int,tag:string,attrs:map<string,string>>>,"
+    "texts:array<struct<pos:int,text:string>>>"
+)
+
+
+def read_page(html: Column) -> Column:
+    """``tags`` and ``texts`` of a page; none for a null page."""
 
+    @F.arrow_udf(PAGE_SQL)
+    def read(pages: pa.Array) -> pa.Array:
+        out = []
+        for source in pages:
+            page = TagReader(source.as_py() or "")
+            rows = [{**t, "attrs": list(t["attrs"].items())} for t in page.tags]
+            out.append({"tags": rows, "texts": page.texts})
+        return pa.array(out, PAGE)
 
-def fits(node: Node, simple: str) -> bool:
+    return read(html)
+
+
+def fits(tag: Column, simple: str) -> Column:
     """Tag, ``.class``, ``#id`` and ``[attribute=value]`` tests; a backslash quotes a bracket."""
+    out = F.lit(True)
     for mark, name, attr, value in SIMPLE.findall(simple):
         name = name.replace("\\", "")
         if attr:
-            if attr not in node.attrs or (value and node.attrs[attr] != value):
-                return False
+            own = tag["attrs"][attr]
+            out = out & (own == value if value else own.isNotNull())
         elif mark == ".":
-            if name not in node.attrs.get("class", "").split():
-                return False
+            classes = F.split(F.coalesce(tag["attrs"]["class"], F.lit("")), r"\s+")
+            out = out & F.array_contains(classes, name)
         elif mark == "#":
-            if node.attrs.get("id") != name:
-                return False
-        elif node.tag != name:
-            return False
-    return True
+            out = out & F.coalesce(tag["attrs"]["id"] == name, F.lit(False))
+        else:
+            out = out & (tag["tag"] == name)
+    return F.coalesce(out, F.lit(False))
+
 
+def inside(outer: Column, at: Column) -> Column:
+    """Whether a position lies inside a tag."""
+    return (outer["pre"] < at) & (at <= outer["post"])
 
-def select(top: Node, selector: str) -> Iterator[Node]:
-    """Matches in page order; steps are descendants, ``~`` a later sibling."""
+
+def matches(tags: Column, selector: str) -> Column:
+    """The tags that a selector finds, in page order; steps are descendants, ``~`` a later sibling.
+
+    Every step filters the tags by the matches of the step before, which are made once.
+    """
     steps = selector.split()
+    found, later = F.filter(tags, lambda t: fits(t, steps[0])), False
+    for simple in steps[1:]:
+        if simple == "~":
+            later = True
+        else:
+            found, later = bind(found, next_step(tags, simple, later)), False
+    return found
 
-    def holds(node: Node, at: int) -> bool:
-        if not fits(node, steps[at]):
-            return False
-        if at == 0:
-            return True
-        if steps[at - 1] == "~":
-            for kid in node.parent.kids if node.parent else ():
-                if kid is node:
-                    return False
-                if isinstance(kid, Node) and holds(kid, at - 2):
-                    return True
-            return False
-        up = node.parent
-        while up is not None:
-            if holds(up, at - 1):
-                return True
-            up = up.parent
-        return False
-
-    return (node for node in top.walk() if holds(node, len(steps) - 1))
-
-
-def read_field(card: Node, want: Field) -> str | None:
-    node = card
-    if want.selector:
-        node = next((n for i, n in enumerate(select(card, want.selector)) if i == want.nth), None)
-    if node is None:
-        return None
-    if want.attr:
-        return node.attrs.get(want.attr)
-    pieces = node.pieces()
-    if want.last:
-        return pieces[-1] if pieces else None
-    return "".join(pieces)
 
+def next_step(tags: Column, simple: str, later: bool) -> Callable[[Column], Column]:
+    """Of the matches of a step those of the next: later siblings or descendants."""
 
-def read_detail(page: Node, chain: tuple[str | Anchor, ...]) -> str | None:
-    for step in chain:
-        if isinstance(step, Anchor):
-            head = next((n for n in select(page, step.tag) if step.words in "".join(n.pieces())), None)
-            if head is None:
-                continue
-            node = head.parent
-            while node is not None and node.tag != step.inside:
-                node = node.parent
-            return "\n".join(node.pieces()) if node is not None else None
-        node = next(select(page, step), None)
-        if node is not None:
-            return "\n".join(node.pieces())
-    return None
+    def near(a: Column, t: Column) -> Column:
+        return (a["parent"] == t["parent"]) & (a["pre"] < t["pre"]) if later else inside(a, t["pre"])
+
+    return lambda before: F.filter(tags, lambda t: fits(t, simple) & F.exists(before, lambda a: near(a, t)))
+
+
+def pieces(texts: Column, tag: Column) -> Column:
+    """The texts below a tag."""
+    return F.transform(F.filter(texts, lambda x: inside(tag, x["pos"])), lambda x: x["text"])
+
+
+def within(found: Column, tag: Column) -> Column:
+    return F.filter(found, lambda t: inside(tag, t["pre"]))
+
+
+def field_value(tag: Column, texts: Column, want: Field) -> Column:
+    if want.attr:
+        return tag["attrs"][want.attr]
+    own = pieces(texts, tag)
+    return bind(own, last_of) if want.last else F.array_join(own, "")
 
 
 TEXT_FIELDS = ("title", "href", "number", "company", "raw_location", "date_posted", "salary_text")
-CARD_SCHEMA = (
-    "{key}, card_no int, " + ", ".join(f"{name} string" for name in TEXT_FIELDS)
-    + ", chips array<struct<text:string,home:boolean,office:boolean>>, has_next boolean"
-)
 
 
 def page_cards(pages: DataFrame, key: str, profile: Profile, html: str = "html") -> DataFrame:
-    """One row per card with its raw fields; a page without cards has no rows."""
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for row_id, source in zip(batch[key], batch[html]):
-                page = Tree(source or "").root
-                more = profile.next_page is None or next(select(page, profile.next_page), None) is not None
-                for number, card in enumerate(select(page, profile.card)):
-                    texts = [
-                        read_field(card, profile.fields[name]) if name in profile.fields else None
-                        for name in TEXT_FIELDS
-                    ]
-                    chips = [
-                        {
-                            "text": "".join(chip.pieces()),
-                            "home": next(select(chip, profile.home_icon), None) is not None,
-                            "office": next(select(chip, profile.office_icon), None) is not None,
-                        }
-                        for chip in (select(card, profile.chips) if profile.chips else ())
-                    ]
-                    rows.append((row_id, number, *texts, chips, more))
-            yield pd.DataFrame(rows, columns=[key, "card_no", *TEXT_FIELDS, "chips", "has_next"])
-
-    kind = pages.schema[key].dataType.simpleString()
-    return pages.select(key, html).mapInPandas(parse, CARD_SCHEMA.format(key=f"{key} {kind}"))
+    """One row per card with its raw fields; a page without cards has no rows.
+
+    All selectors are matched page by page inside the row, so nothing is shuffled; the
+    matches of a card are those inside its span.
+    """
+    tags, texts = F.col("_page.tags"), F.col("_page.texts")
+    found = {name: matches(tags, want.selector) for name, want in profile.fields.items() if want.selector}
+    if profile.chips:
+        found |= {
+            "chips": matches(tags, profile.chips),
+            "home": matches(tags, profile.home_icon),
+            "office": matches(tags, profile.office_icon),
+        }
+    more = F.size(matches(tags, profile.next_page)) > 0 if profile.next_page else F.lit(True)
+    rows = pages.select(F.col(key), read_page(F.col(html)).alias("_page")).select(
+        F.col(key), texts.alias("_texts"), more.alias("has_next"), matches(tags, profile.card).alias("_cards"),
+        *[c.alias(f"_{name}") for name, c in found.items()],
+    )
+
+    def value(card: Column, name: str) -> Column:
+        want = profile.fields.get(name)
+        if want is None:
+            return F.lit(None).cast("string")
+        if not want.selector:
+            return field_value(card, F.col("_texts"), want)
+        tag = F.get(within(F.col(f"_{name}"), card), F.lit(want.nth))
+        return bind(tag, lambda t: F.when(t.isNotNull(), field_value(t, F.col("_texts"), want)))
+
+    def chip(tag: Column) -> Column:
+        return F.struct(
+            F.array_join(pieces(F.col("_texts"), tag), "").alias("text"),
+            (F.size(within(F.col("_home"), tag)) > 0).alias("home"),
+            (F.size(within(F.col("_office"), tag)) > 0).alias("office"),
+        )
+
+    def card_row(card: Column, at: Column) -> Column:
+        none = F.array().cast("array<struct<text:string,home:boolean,office:boolean>>")
+        chips = F.transform(within(F.col("_chips"), card), chip) if profile.chips else none
+        return F.struct(at.alias("card_no"), *[value(card, n).alias(n) for n in TEXT_FIELDS], chips.alias("chips"))
+
+    return rows.select(key, F.inline(F.transform("_cards", card_row)), "has_next")
 
 
 def last_of(values: Column) -> Column:
@@ -297,17 +306,44 @@ def listing_rows(
     )
 
 
+def detail_text(tags: Column, texts: Column, chain: tuple[str | Anchor, ...]) -> Column:
+    """The texts of the first step of the chain that finds something, line by line.
+
+    An anchor is found where its words are; its text is that of the nearest tag around it,
+    null if there is none.
+    """
+    out = F.lit(None).cast("string")
+    for step in reversed(chain):
+        selector = step.tag if isinstance(step, Anchor) else step
+        found = matches(tags, selector)
+        if isinstance(step, Anchor):
+            found = F.filter(found, holds(texts, step.words))
+        out = bind(F.get(found, F.lit(0)), step_text(tags, texts, step, out))
+    return out
+
+
+def holds(texts: Column, words: str) -> Callable[[Column], Column]:
+    return lambda t: F.contains(F.array_join(pieces(texts, t), ""), F.lit(words))
+
+
+def step_text(tags: Column, texts: Column, step: str | Anchor, rest: Column) -> Callable[[Column], Column]:
+    """The text of a step's tag, or what the rest of the chain finds where there is no tag."""
+
+    def lines(t: Column) -> Column:
+        return F.when(t.isNotNull(), F.array_join(pieces(texts, t), "\n"))
+
+    def own(t: Column) -> Column:
+        if isinstance(step, Anchor):
+            return bind(last_of(F.filter(tags, lambda a: (a["tag"] == step.inside) & inside(a, t["pre"]))), lines)
+        return lines(t)
+
+    return lambda t: F.when(t.isNotNull(), own(t)).otherwise(rest)
+
+
 def page_details(pages: DataFrame, key: str, profile: Profile, html: str = "html") -> DataFrame:
     """``key, description, salary_raw`` of detail pages; nulls when nothing is found."""
-    chain = profile.details
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [read_detail(Tree(source or "").root, chain) for source in batch[html]]
-            yield batch[[key, "salary_raw"]].assign(description=pd.Series(texts, dtype=object, index=batch.index))[
-                [key, "description", "salary_raw"]
-            ]
-
-    kind = pages.schema[key].dataType.simpleString()
-    priced = pages.select(key, html, first_amount(visible_text(F.col(html))).alias("salary_raw"))
-    return priced.mapInPandas(parse, f"{key} {kind}, description string, salary_raw string")
+    priced = pages.select(
+        key, read_page(F.col(html)).alias("_page"), first_amount(visible_text(F.col(html))).alias("salary_raw")
+    )
+    description = detail_text(F.col("_page.tags"), F.col("_page.texts"), profile.details)
+    return priced.select(key, description.alias("description"), "salary_raw")
