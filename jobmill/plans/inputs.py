@@ -19,6 +19,26 @@ LISTING_SITES = ("computrabajo", "occ")
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+# Cards of the two listing sites; a page's number decides what its card holds.
+COMPUTRABAJO_CARDS_SQL = """concat('<main>',
+  CASE WHEN doc_id % 5 = 0 THEN '<div class="box_offer"><h2>sin enlace</h2></div>' ELSE '' END,
+  '<div class="js box_offer"><h2 class="fs18"><a class="js-o-link fc_base" href="/oferta/', cast(doc_id AS string), '">Puesto <b>', cast(doc_id AS string),
+  '</b></a></h2><div class="fs16"><p class="mt5"><span>4,5</span><a>Empresa ', cast(doc_id % 37 AS string),
+  '</a></p><p class="mt5">León, Gto.</p></div><p class="fc_aux">Hace ', cast(doc_id % 9 AS string), ' días</p><div class="fs12 mt15">',
+  CASE WHEN doc_id % 2 = 0 THEN '<span class="dIB">$12,000 - $15,000</span>' ELSE '' END,
+  CASE WHEN doc_id % 4 = 0 THEN '<span class="dIB">$20,000.50</span>' ELSE '' END,
+  CASE WHEN doc_id % 3 = 0 THEN '<span class="dIB"><span class="icon i_home"></span>Remoto</span>' ELSE '' END,
+  CASE WHEN doc_id % 6 = 0 THEN '<span class="dIB"><span class="i_home_office"></span>Mixto</span>' ELSE '' END,
+  '</div></div>', CASE WHEN doc_id % 7 <> 0 THEN '<span class="b_primary buildLink" data-path="p2"></span>' ELSE '' END, '</main>')"""
+OCC_CARDS_SQL = """concat('<div data-offers-grid-offer-item-container data-id="', CASE WHEN doc_id % 5 = 0 THEN '' ELSE cast(doc_id AS string) END,
+  '"><h2 class="text-lg text-grey-900">Puesto ', cast(doc_id AS string), '</h2>',
+  CASE doc_id % 3 WHEN 0 THEN '<span class="mr-2 text-grey-900 font-base font-light">$5,000</span>'
+    WHEN 1 THEN '<span class="mr-2 text-grey-900 font-base font-light">Sueldo oculto</span>' ELSE '' END,
+  '<div class="col-span-10"><div class="h-[21px]"><a>Empresa</a> ', cast(doc_id % 37 AS string), '</div></div>',
+  CASE WHEN doc_id % 4 <> 0 THEN '<div class="no-alter-loc-text"><p>CDMX</p></div>' ELSE '' END,
+  '<span class="mr-2 text-sm font-light">Ayer</span></div>')"""
+
+
 def moment(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 

@@ -476,6 +476,16 @@ ORACLES: dict[str, str] = {
         SELECT page_id, regexp_extract_all(nav, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS hrefs,
           regexp_extract_all(nav, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS titles
         FROM (SELECT page_id, regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1) AS nav FROM pages)))""",
+    "site_cards": """SELECT doc_id AS page_id, cast(CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS INTEGER) AS card_no, 'computrabajo' AS site,
+        concat('https://mx.computrabajo.com/oferta/', doc_id) AS job_url, concat('Puesto', doc_id) AS title,
+        concat('Empresa ', doc_id % 37) AS company, 'León, Gto.' AS raw_location, concat('Hace ', doc_id % 9, ' días') AS date_posted,
+        CASE WHEN doc_id % 4 = 0 THEN 20000.5 WHEN doc_id % 2 = 0 THEN 12000.0 END::DOUBLE AS salary_min,
+        CASE WHEN doc_id % 4 = 0 THEN 20000.5 WHEN doc_id % 2 = 0 THEN 15000.0 END::DOUBLE AS salary_max,
+        CASE WHEN doc_id % 6 = 0 THEN 'Híbrido' WHEN doc_id % 3 = 0 THEN 'Remoto' END AS job_type, doc_id % 7 <> 0 AS has_next FROM documents
+      UNION ALL SELECT doc_id, 0, 'computrabajo', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, doc_id % 7 <> 0 FROM documents WHERE doc_id % 5 = 0
+      UNION ALL SELECT doc_id, 0, 'occ', CASE WHEN doc_id % 5 <> 0 THEN concat('https://www.occ.com.mx/empleo/oferta/', doc_id, '/') END,
+        concat('Puesto ', doc_id), concat('Empresa', doc_id % 37), CASE WHEN doc_id % 4 <> 0 THEN 'CDMX' END, 'Ayer',
+        CASE WHEN doc_id % 3 = 0 THEN 5000.0 END, CASE WHEN doc_id % 3 = 0 THEN 5000.0 END, NULL, true FROM documents""",
     "extract_detail": f"""SELECT page_id, {text_of("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)", chr(10))} AS description,
       nullif(regexp_extract({text_of("html", " ")}, {q(FIRST_AMOUNT)}), '') AS salary_raw FROM pages""",
     "page_text": f"SELECT page_id, {text_of('html', ' ')} AS page_text FROM pages",

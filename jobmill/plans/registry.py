@@ -572,6 +572,18 @@ def extract_cards(spark, folder):
     return pages.listing_rows(cards, PAGE_PROFILE).select("page_id", "card_no", "title", "job_url")
 
 
+@query
+def site_cards(spark, folder):
+    """Listing rows of both sites' cards, one page per document, marked up as the sites do."""
+    docs = {"documents": table(spark, folder, "documents")}
+    out = []
+    for profile, markup in ((pages.COMPUTRABAJO, I.COMPUTRABAJO_CARDS_SQL), (pages.OCC, I.OCC_CARDS_SQL)):
+        made = spark.sql(f"SELECT doc_id AS page_id, {markup} AS html FROM {{documents}}", **docs)
+        rows = pages.listing_rows(pages.page_cards(made, "page_id", profile), profile)
+        out.append(rows.drop("description", "currency", "country_code"))
+    return out[0].unionByName(out[1])
+
+
 @query
 def extract_detail(spark, folder):
     return pages.page_details(table(spark, folder, "pages"), "page_id", PAGE_PROFILE)
