@@ -24,6 +24,9 @@ PERCENT, STAGE_PERCENT = 85, 80
 BANDS = {85: (48, 8), 80: (66, 7)}
 STAR_ROUNDS = 4
 PROBES = 64
+#: Ids of documents in shared buckets, at most, that are broadcast to find their texts; some 16 MB.
+#: More are joined.
+MOST_WANTED = 500_000
 #: Longs of a set's parity bits.
 PARITY_LONGS = 16
 
@@ -212,6 +215,7 @@ def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     tried = spark.createDataFrame([], "a long, b long")
     label = members.select("doc_id", F.col("doc_id").alias("label")).distinct()
     rest = 100 - percent
+    stored_: list[DataFrame] = []
 
     def ends(stars: DataFrame) -> DataFrame:
         return stars.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b"))
@@ -226,9 +230,11 @@ def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             known = known.join(span.where("_lo < _hi").select("bucket"), "bucket", "left_semi")
             if turn == 1:
                 parts = store(own_parts(known.select("doc_id").distinct(), sets), "parts")
+                stored_.append(parts)
             known = known.join(parts, "doc_id").where(percent * F.col("own") <= rest * F.col("shared"))
             known = known.withColumn("light", 2 * percent * F.col("own") <= rest * F.col("shared"))
             known = store(known, f"unsettled{turn}")
+            stored_.append(known)
             facts = [F.col(c).alias("_" + c) for c in ("label", "light", "own", "shared", "bits")]
             centres = known.select("bucket", *facts, F.col("doc_id").alias("centre"))
             if turn < STAR_ROUNDS:
@@ -254,6 +260,7 @@ def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             label = members.select("doc_id").distinct().join(components(links), "doc_id", "left").select(
                 "doc_id", F.coalesce("label", "doc_id").alias("label")
             )
+    drop(*stored_)
     return links
 
 
@@ -286,7 +293,9 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     sizes = store(sizes, "buckets")
     members = store(banded.join(sizes.select("bucket"), "bucket", "left_semi"), "members")
-    wanted = members.select("doc_id").distinct()
+    wanted = store(members.select("doc_id").distinct(), "wanted")
+    if wanted.count() <= MOST_WANTED:
+        wanted = F.broadcast(wanted)  # the texts stay where they are
     schema = "doc_id long, shingles array<long>, bits array<long>"
     sets = store(named.join(wanted, "doc_id", "left_semi").mapInPandas(set_batches, schema), "sets")
     if sets.count() > sets.select("doc_id").distinct().count():
@@ -297,7 +306,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         *key, "copies", F.coalesce("label", "rep").alias("component_id")
     )
     final = store(final, "final")
-    drop(members, sizes, sets)
+    drop(members, sizes, sets, wanted, classes)
     none = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     alone = sketches.where(none).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     rows = attach(sketches.where(~none), final, key, "copies", total).select("doc_id", "n_shingles", "component_id")

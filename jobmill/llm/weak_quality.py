@@ -136,13 +136,20 @@ def fit(found: list[np.ndarray], labels: np.ndarray, rounds: int = 150) -> tuple
     weights, bias = np.zeros(DIMENSIONS), 0.0
     if not found:
         return weights, bias
-    index, value = np.concatenate(found), np.concatenate([values(x) for x in found])
-    at = np.repeat(np.arange(len(found)), [len(x) for x in found])
+    # A few hundred documents at a time: the driver holds their numbers, not those of all.
+    parts = []
+    for i in range(0, len(found), 512):
+        some = found[i : i + 512]
+        at = np.repeat(np.arange(len(some)), [len(x) for x in some])
+        parts.append((slice(i, i + len(some)), np.concatenate(some), np.concatenate([values(x) for x in some]), at.astype(np.int16)))
+    found_n = len(found)
     squares, bias_square = np.full(DIMENSIONS, 1e-3), 1e-3
     for _ in range(rounds):
-        z = np.bincount(at, weights[index] * value, len(found)) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / len(found)
-        step = np.bincount(index, error[at] * value, DIMENSIONS) + 1e-6 * weights
+        step, error = 1e-6 * weights, np.zeros(found_n)
+        for rows, index, value, at in parts:
+            z = np.bincount(at, weights[index] * value, rows.stop - rows.start) + bias
+            error[rows] = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[rows]) / found_n
+            step += np.bincount(index, error[rows][at] * value, DIMENSIONS)
         squares += step**2
         bias_square += error.sum() ** 2
         weights -= 0.5 * step / np.sqrt(squares)
@@ -186,6 +193,8 @@ def scorer(docs: DataFrame) -> Column:
     rows = chosen.toPandas()
     drop(voted)
     weights, bias = fit([np.asarray(x) for x in rows["found"]], rows["code"].map(posterior).to_numpy(float))
+    del rows
+    give_back()
     model = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), bias))
 
     @F.pandas_udf("double")
