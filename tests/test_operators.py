@@ -22,9 +22,37 @@ def rows(df, *columns):
 def test_left_join_hot_equals_plain_join(spark):
     left = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE cast(id AS string) END AS k")
     right = spark.createDataFrame([("hot", 1), ("1", 2), ("5", 3), ("absent", 4)], "k string, v int")
-    got = skew.left_join_hot(left, right, "k", F.col("id"))
-    assert rows(got, "id", "k", "v") == rows(left.join(right, "k", "left"), "id", "k", "v")
-    assert [r.k for r in skew.hot_keys(left, "k").collect()] == ["hot"]
+    for task_rows in (skew.TASK_ROWS, 150):
+        got = skew.left_join_hot(left, right, "k", F.col("id"), task_rows)
+        assert rows(got, "id", "k", "v") == rows(left.join(right, "k", "left"), "id", "k", "v")
+    # 1,000 rows in tasks of 150 need seven places; no other key has more than one row.
+    found = spark.range(1).select(F.xxhash64(F.lit("hot")).alias("h")).first().h
+    assert [tuple(r) for r in skew.hot_keys(left, "k", 150).collect()] == [(found, 7)]
+    assert skew.hot_keys(left, "k").count() == 0
+
+
+def test_streaks_of_one_key_that_holds_all_rows(spark):
+    """Chunks follow the count of rows, not the time: all rows share one key and nearly one hour."""
+    df = spark.range(20_000).selectExpr(
+        "'all' AS k", "CASE WHEN id % 97 = 0 THEN NULL ELSE timestamp_seconds(id div 7) END AS t", "id AS i",
+        "CASE WHEN xxhash64(id) % 11 = 0 THEN 'ok' WHEN xxhash64(id) % 5 = 0 THEN 'empty' ELSE 'fail' END AS o",
+    )
+    run, expected = 0, []
+    for row in sorted(df.collect(), key=lambda r: (r.t is not None, r.t, r.i) if r.t else (False, 0, r.i)):
+        if row.o != "empty":
+            run = run + 1 if row.o == "fail" else 0
+            if run and run % 3 == 0:
+                expected.append(("all", row.i, run))
+    for task_rows in (streaks.TASK_ROWS, 1_000):
+        assert rows(streaks.failure_trips(df, "k", "t", "i", "o", task_rows=task_rows), "k", "i", "run_length") == sorted(expected, key=str)
+    sizes = [r["count"] for r in streaks.ranged(df, ["k", "t", "i"], 1_000).groupBy(streaks.CHUNK).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 2_500
+    assert streaks.failure_trips(df.limit(0), "k", "t", "i", "o").count() == 0
+
+
+def test_streaks_of_rows_without_a_key_are_one_key(spark):
+    df = spark.createDataFrame([(None, i, "fail") for i in range(7)], "k int, t int, o string").withColumn("i", F.col("t"))
+    assert rows(streaks.failure_trips(df, "k", "t", "i", "o", task_rows=2), "i", "run_length") == [(2, 3), (5, 6)]
 
 
 def test_insert_counts_add_up_and_first_wins(spark):
