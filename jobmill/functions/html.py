@@ -7,9 +7,11 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from jobmill.functions.text import strip
+from jobmill.functions.text import bind, strip
 
 EDGE = "\x01"
+# A character that Unicode reserves for use inside programs: the "<" of an opener that nothing closes.
+OPEN = "\ufdd0"
 LINK = r"""(?i)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
@@ -42,18 +44,54 @@ def decode_entities(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
+def without_blocks(html: Column) -> Column:
+    """Comments, scripts and styles replaced by an edge; an opener that nothing closes stays.
+
+    Openers behind the last closer of their kind can't match, but each would be tried up to
+    the end of the page. They are hidden during the match, which keeps it linear.
+    """
+
+    def hide_comments(page: Column) -> Column:
+        tail = F.substring_index(page, "-->", -1)
+        head = F.left(page, F.length(page) - F.length(tail))
+        return F.when(F.contains(page, F.lit("<!--")), F.concat(head, F.replace(tail, F.lit("<!--"), F.lit(OPEN + "!--")))).otherwise(page)
+
+    def hide(tag: str):
+        def step(page: Column) -> Column:
+            tail = F.regexp_replace(page, rf"(?is)\A.*</{tag}\s*>", "")
+            head = F.left(page, F.length(page) - F.length(tail))
+            hidden = F.regexp_replace(tail, rf"(?i)<({tag}\b)", OPEN + "$1")
+            return F.when(page.rlike(rf"(?i)<{tag}\b"), F.concat(head, hidden)).otherwise(page)
+
+        return step
+
+    page = bind(bind(bind(html, hide_comments), hide("script")), hide("style"))
+    bare = F.regexp_replace(page, F.lit(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"), F.lit(EDGE))
+    return F.translate(bare, OPEN, "<")
+
+
+def without_tags(page: Column) -> Column:
+    """Tags replaced by an edge; behind the last ``>`` there is none."""
+
+    def use(text: Column) -> Column:
+        tail = F.substring_index(text, ">", -1)
+        head = F.left(text, F.length(text) - F.length(tail))
+        return F.concat(F.regexp_replace(head, F.lit(r"(?s)</?[A-Za-z!?][^>]*>"), F.lit(EDGE)), tail)
+
+    return bind(page, use)
+
+
 def visible_text(html: Column) -> Column:
     """Texts between tags, trimmed and joined by one blank; scripts and comments excluded."""
-    bare = F.regexp_replace(html, F.lit(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"), F.lit(EDGE))
-    bare = F.regexp_replace(bare, F.lit(r"(?s)</?[A-Za-z!?][^>]*>"), F.lit(EDGE))
-    text = decode_entities(bare)
+    text = bind(without_tags(without_blocks(html)), decode_entities)
     joined = F.regexp_replace(text, F.lit(rf"(?U)(?<!\s)\s*+{EDGE}[\s{EDGE}]*"), F.lit(" "))
     return strip(joined)
 
 
 def inner_text(html: Column, tag: str) -> Column:
-    """Visible text of the first element with the tag; null when the page has none."""
-    body = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
+    """Visible text of the first element with the tag; empty when it is not closed, null when the page has none."""
+    closed = F.regexp_extract(html, rf"(?is)\A.*</{tag}\s*>", 0)
+    body = F.regexp_extract(closed, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
     has = html.rlike(rf"(?i)<{tag}\b")
     return F.when(has, visible_text(body))
 

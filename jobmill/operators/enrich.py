@@ -94,17 +94,21 @@ def apply_updates(jobs: DataFrame, updates: DataFrame, now: Column) -> DataFrame
     return jobs.where(~waits).unionByName(changed)
 
 
-def run_totals(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Enriched, orphaned and still pending rows of one run (one pass over each snapshot)."""
-    was = pending(before).agg(F.count(F.lit(1)).alias("n")).scalar()
-    queued = F.col("site").isin(*SITES)
-    totals = after.agg(
-        F.count_if(queued & (F.col("status") == S.PENDING)).alias("remaining"),
-        F.count_if(queued & (F.col("status") == S.ORPHANED)).alias("_orphans"),
+def run_totals(jobs: DataFrame, updates: DataFrame) -> DataFrame:
+    """Enriched, orphaned and still pending rows of a run of ``apply_updates``, from one pass over each side.
+
+    Pending rows are counted per link before they meet the results, so no link is hot and no text moves.
+    """
+    waiting = pending(jobs).groupBy("job_url").agg(F.count(F.lit(1)).alias("_n"))
+    visited = updates.where(F.col("job_url").isNotNull()).groupBy("job_url").agg(
+        F.max(F.col("description").isNotNull()).alias("_text")
     )
-    orphans_before = before.agg(F.count_if(queued & (F.col("status") == S.ORPHANED))).scalar()
-    return totals.select(
-        (was - F.col("remaining") - (F.col("_orphans") - orphans_before)).alias("enriched"),
-        (F.col("_orphans") - orphans_before).alias("orphaned"),
-        "remaining",
+
+    def rows(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col("_n"))), F.lit(0))
+
+    return waiting.join(visited, "job_url", "left").agg(
+        rows(F.col("_text")).alias("enriched"),
+        rows(~F.col("_text")).alias("orphaned"),
+        rows(F.col("_text").isNull()).alias("remaining"),
     )

@@ -119,6 +119,12 @@ def cascade(batches: Sequence[tuple[str, DataFrame]], position: str = "load_orde
     return out
 
 
+def term_rank(term: Column, terms: Sequence[str]) -> Column:
+    """Place of a search term in the configured order of ``terms``; any other term comes after all of them."""
+    place = F.coalesce(F.array_position(F.array(*[F.lit(t) for t in terms]), term), F.lit(0))
+    return F.when(place > 0, place).otherwise(F.lit(len(terms) + 1))
+
+
 def mark_notified(jobs: DataFrame) -> DataFrame:
     return jobs.withColumn("status", F.when(F.col("status") == S.NEW, S.NOTIFIED).otherwise(F.col("status")))
 

@@ -16,6 +16,8 @@ TODAY = "2024-01-31 00:00:00"
 CHECKPOINT = "2024-01-01 12:00:00"
 SEARCH_SITES = ("indeed", "linkedin")
 LISTING_SITES = ("computrabajo", "occ")
+# The configured order of the search terms, which is not the alphabetical one.
+TERMS = ("React Developer", "Data Engineer", "Cloud Engineer", "Data Analyst")
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 

@@ -390,7 +390,7 @@ ORACLES: dict[str, str] = {
         CASE site WHEN 'computrabajo' THEN 1 WHEN 'occ' THEN 2 ELSE 0 END AS load_order FROM jobs
         WHERE job_url IS NOT NULL OR site IN ('computrabajo', 'occ')""",
         "load_source",
-        "career, load_order, id",
+        "list_position(['React Developer', 'Data Engineer', 'Cloud Engineer', 'Data Analyst'], career), load_order, id",
     ),
     "mark_notified": f"{JOBS} SELECT id, CASE status WHEN 'NEW' THEN 'NOTIFIED' ELSE status END AS status FROM jobs",
     "mark_applied": f"""{JOBS} SELECT id, CASE WHEN hit THEN 'APPLIED' ELSE status END AS status,
@@ -434,6 +434,8 @@ ORACLES: dict[str, str] = {
       {pct("count(*) FILTER (NOT es_vacio_nlp)", "count(*)")} AS usable_nlp_pct,
       count(*) FILTER (es_vacio_nlp) AS empty_nlp, count(*) FILTER (es_vacio_nlp AND NOT es_vacio) AS newly_empty FROM nlp""",
     "nlp_language_dist": f"{NLP} {shares('nlp', 'idioma_det', 'es_vacio_nlp')}",
+    "median_words_by_day": f"""{CLEANED} SELECT career, count(*) AS n, true AS exact_rank_fits FROM corpus
+      WHERE NOT es_vacio GROUP BY career""",
     "median_tokens_by_career": f"""{NLP} SELECT career, cast(median(n_palabras_nlp) AS DOUBLE) AS median_words FROM nlp
       WHERE NOT es_vacio_nlp GROUP BY career ORDER BY median_words DESC, career LIMIT 10""",
     "before_after_sample": f"""{NLP}, {region_sql().replace("FROM jobs", "FROM nlp")}
@@ -501,6 +503,7 @@ ORACLES: dict[str, str] = {
     "tfidf_matrix": f"{TFIDF} SELECT id, term, round(w / norm, 6) AS weight FROM weighted JOIN norms USING (id)",
     "stream_export_rows": f"""{EXPORT} SELECT id, site, status, {HAS_SALARY}, {DAY} AS ingestion_date FROM exported""",
     "stream_enrich_update": UPDATED_ROWS,
+    "stream_status": UPDATED_ROWS,
     "stream_first_within": "SELECT event_id, event_type FROM events WHERE ts IS NOT NULL",
 }
 ORACLES["stream_insert_new"] = ORACLES["insert_new_only"]

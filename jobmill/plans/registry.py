@@ -13,7 +13,7 @@ from jobmill.functions import postings as P
 from jobmill.functions import salary as M
 from jobmill.functions import text as X
 from jobmill.functions import tokens as N
-from jobmill.operators import audit, enrich, features, frontier, language, load, nlp, pages, rank, streaks
+from jobmill.operators import audit, enrich, features, frontier, language, load, medians, nlp, pages, rank, streaks
 from jobmill.operators.normalize import align
 from jobmill.plans import corpus
 from jobmill.plans import inputs as I
@@ -23,6 +23,7 @@ from jobmill.sources.tables import postings, table
 from jobmill.streaming import enrich as stream_enrich
 from jobmill.streaming import export as stream_export
 from jobmill.streaming import load as stream_load
+from jobmill.streaming import status as stream_states
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -407,8 +408,8 @@ def load_by_source(spark, folder):
         ("jobspy", I.search_batch(jobs.where(F.col("site").isin(*I.SEARCH_SITES)))),
         *[(site, I.listing_batch(jobs.where(F.col("site") == site))) for site in I.LISTING_SITES],
     ]
-    everything = load.cascade(batches)
-    order = ["career", "load_order", "id"]
+    everything = load.cascade(batches).withColumn("term_order", load.term_rank(F.col("career"), I.TERMS))
+    order = ["term_order", "load_order", "id"]
     return load.load_counts(I.stored_links(jobs), everything, order, "load_source")
 
 
@@ -432,20 +433,16 @@ def enrich_merge(spark, folder):
     return enrich.merge_details(listing, I.visit_results(jobs), "id")
 
 
-def _updated(spark, folder):
-    jobs = postings(spark, folder)
-    return jobs, enrich.apply_updates(jobs, I.visit_results(undated(spark, folder)), I.moment(I.TODAY))
-
-
 @query
 def enrich_update(spark, folder):
-    _, after = _updated(spark, folder)
+    after = enrich.apply_updates(postings(spark, folder), I.visit_results(undated(spark, folder)), I.moment(I.TODAY))
     return after.select("id", "description", "salary_min", "salary_max", "status", I.time_text("last_updated"))
 
 
 @query
 def enrichment_summary(spark, folder):
-    return enrich.run_totals(*_updated(spark, folder))
+    jobs = undated(spark, folder)
+    return enrich.run_totals(jobs, I.visit_results(jobs))
 
 
 @query
@@ -491,6 +488,20 @@ def median_words_by_career(spark, folder):
     return audit.median_by(rows, "career", "n_palabras", "es_vacio")
 
 
+@query
+def median_words_by_day(spark, folder):
+    """Medians per career from sketches of days, stored in two runs; the exact rank of each is checked."""
+    cleaned = corpus.add_clean_columns(postings(spark, folder)).where(~F.col("es_vacio"))
+    rows = nlp.stored(cleaned.select("career", "n_palabras", "date_scraped"), "words")
+    path, day = shared_dir(spark, "day-sketches"), F.col("date_scraped").cast("date")
+    early = F.coalesce(day < I.moment(I.CHECKPOINT).cast("date"), F.lit(False))
+    for run in (early, ~early):
+        medians.store_days(medians.sketches(rows.where(run), "career", "n_palabras", day), path)
+    found = medians.medians(medians.read_days(spark, path))
+    checked = medians.checked(rows, "career", "n_palabras", found)
+    return checked.select(F.col("grp").alias("career"), "n", "exact_rank_fits")
+
+
 @query
 def language_dist(spark, folder):
     model = language.train(table(spark, folder, "documents"), "text", "lang")
@@ -714,3 +725,23 @@ def stream_enrich_update(spark, folder):
     stream_enrich.start_log(drops, f"{base}/log", f"{base}/checkpoint").awaitTermination()
     after = stream_enrich.current_table(jobs, f"{base}/log", I.moment(I.TODAY))
     return after.select("id", "description", "salary_min", "salary_max", "status", I.time_text("last_updated"))
+
+
+@query
+def stream_status(spark, folder):
+    """Later visits of every link come a drop before the first one, and both come again in a third drop."""
+    base = shared_dir(spark, "stream-status")
+    first = I.visit_results(undated(spark, folder)).withColumn("visited_at", I.moment(I.TODAY))
+    later = first.select(
+        "job_url",
+        F.when(F.col("description").isNull(), F.lit("Otro detalle")).alias("description"),
+        F.lit("$1,000").alias("salary_raw"),
+        (F.col("visited_at") + F.expr("INTERVAL 1 HOUR")).alias("visited_at"),
+    )
+    for drop in (later, first, first.unionByName(later)):
+        drop.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    schema = spark.read.parquet(f"{base}/in").schema
+    drops = stream_export.read_drops(spark, f"{base}/in", schema, files_per_batch=1)
+    stream_states.start(drops, f"{base}/log", f"{base}/checkpoint", "2 hours").awaitTermination()
+    after = stream_states.current_table(postings(spark, folder), f"{base}/log", I.moment(I.TODAY))
+    return after.select("id", "description", "salary_min", "salary_max", "status", I.time_text("last_updated"))

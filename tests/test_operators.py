@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from jobmill import schema as S
 from jobmill.functions.text import clean_description
-from jobmill.operators import audit, enrich, frontier, language, load, nlp, pages, rank, skew, streaks
+from jobmill.operators import audit, enrich, frontier, language, load, medians, nlp, pages, rank, skew, streaks
 from jobmill.plans.inputs import moment
 from jobmill.sources import csv_files, lake
 from jobmill.sources.tables import postings, table
@@ -129,7 +129,7 @@ def test_enrichment(spark):
         (4, S.ORPHANED, None, None, None),
         (5, S.PENDING, None, None, None),
     ]
-    totals = enrich.run_totals(jobs, after).first()
+    totals = enrich.run_totals(jobs, found).first()
     assert (totals.enriched, totals.orphaned, totals.remaining) == (2, 1, 1)
     assert [r.id for r in enrich.queue(jobs, 2).collect()] == [5, 1]
     assert rows(enrich.batches(jobs, 100, 2), "id", "batch_no", "batch_count") == [(1, 1, 2), (2, 1, 2), (4, 2, 2), (5, 1, 1)]
@@ -396,3 +396,28 @@ def test_state_of_the_bounded_stream(spark, tmp_path):
     assert written.count() == written.select("k").distinct().count() == 4000
     sizes = [p["stateOperators"][0]["numRowsTotal"] for p in stream.recentProgress if p["stateOperators"]]
     assert max(sizes) < 3000 and sizes[-1] < 1500
+
+
+def test_sketched_medians_merge_days(spark, tmp_path):
+    """Medians of merged days stay within the rank error; an added day writes its own folder alone."""
+    path = str(tmp_path / "days")
+    df = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 1000 = 1 THEN 'rare' ELSE 'hot' END AS g",
+        "CASE WHEN id % 50 <> 0 THEN cast(pmod(xxhash64(id), 5000) AS int) END AS v",
+        "date_add(DATE '2024-01-01', cast(id % 4 AS int)) AS d",
+    )
+    early = df.where("d < DATE '2024-01-04'")
+    medians.store_days(medians.sketches(early, "g", "v", F.col("d")), path)
+    first = {f.name: f.stat().st_mtime_ns for f in tmp_path.glob("days/day=*/*.parquet")}
+    late = df.where("d = DATE '2024-01-04'")
+    for _ in range(2):
+        medians.store_days(medians.sketches(late, "g", "v", F.col("d")), path)
+    after = {f.name: f.stat().st_mtime_ns for f in tmp_path.glob("days/day=*/*.parquet")}
+    assert first.items() <= after.items() and len(list(tmp_path.glob("days/day=*"))) == 4
+    found = medians.medians(medians.read_days(spark, path))
+    got = {r.grp: r for r in medians.checked(df, "g", "v", found).collect()}
+    assert set(got) == {None, "rare", "hot"} and all(r.exact_rank_fits for r in got.values())
+    assert sum(r.n for r in got.values()) == df.where("v IS NOT NULL").count()
+    wrong = found.withColumn("median_number", F.col("median_number") + 200)
+    assert not any(r.exact_rank_fits for r in medians.checked(df, "g", "v", wrong).collect())
+    assert medians.medians(medians.sketches(df.limit(0), "g", "v", F.col("d"))).count() == 0
