@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+def worker_path() -> str:
+    """``PYTHONPATH`` of the Python workers: the folder that holds this package, then what is set already.
+
+    Workers of a session started anywhere find the package there; a cluster has it at the same
+    place or installed (``pyproject.toml``).
+    """
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    return os.pathsep.join(dict.fromkeys([home, *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]))
+
+
 def build_session(master: str | None = None, app: str = "jobmill", **conf: str) -> SparkSession:
     """A session with the settings the jobs expect; extra ``conf`` entries win."""
     settings = {
@@ -18,6 +29,7 @@ def build_session(master: str | None = None, app: str = "jobmill", **conf: str)
         "spark.ui.enabled": "false",
         # Texts and pages are long: small Arrow batches bound the memory of a worker.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+        "spark.executorEnv.PYTHONPATH": worker_path(),
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     builder = SparkSession.builder.appName(app)
