@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from jobmill.functions.text import bind
 from jobmill.functions.tokens import ngrams
+from jobmill.operators.nlp import stored
 
 SEED = 42
 
@@ -93,9 +94,13 @@ def tfidf_matrix(df: DataFrame, row_id: str, tokens: str, high: int = 3, vocabul
 
 
 def lda_topics(df: DataFrame, tokens: str, topics: int = 10, vocabulary: int = 3000, words: int = 10, rounds: int = 10) -> DataFrame:
-    """Heaviest words of each topic: ``topic, rank, term, weight``."""
+    """Heaviest words of each topic: ``topic, rank, term, weight``.
+
+    Vectors are stored, so rounds read numbers and don't count tokens again.
+    """
     counter = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=vocabulary).fit(df)
-    model = LDA(k=topics, maxIter=rounds, seed=SEED, featuresCol="features").fit(counter.transform(df))
+    vectors = stored(counter.transform(df).select("features"), "topic-vectors")
+    model = LDA(k=topics, maxIter=rounds, seed=SEED, featuresCol="features").fit(vectors)
     terms = F.array(*[F.lit(t) for t in counter.vocabulary])
     pairs = F.arrays_zip("termIndices", "termWeights")
     return model.describeTopics(words).select("topic", F.posexplode(pairs)).select(

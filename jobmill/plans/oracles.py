@@ -275,6 +275,9 @@ ORACLES: dict[str, str] = {
     "scan_csv_roundtrip": f"{JOBS} SELECT id, "
     + ", ".join(NA_CASE.format(c) for c in ("title", "company", "raw_location", "description"))
     + " FROM jobs",
+    "report_csv": f"{JOBS} SELECT id, site, company, career, true AS marked FROM jobs",
+    "export_dry_run": f"""{EXPORT} SELECT id, site, strftime(date_scraped, {TIME}) AS date_scraped FROM exported
+      ORDER BY exported.date_scraped DESC NULLS LAST, id LIMIT 3""",
     "restore_types": f"""{JOBS} SELECT id,
       CASE WHEN job_type = 'fulltime' THEN NULL ELSE salary_min END AS salary_min,
       CASE WHEN job_type = 'Remoto' THEN NULL ELSE salary_max END AS salary_max,

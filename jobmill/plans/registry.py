@@ -50,6 +50,23 @@ def scan_csv_roundtrip(spark, folder):
     return back.withColumn("id", F.col("id").try_cast("bigint"))
 
 
+@query
+def report_csv(spark, folder):
+    """A report in spreadsheet files, read back; ``marked`` tells whether each file has its byte-order mark."""
+    columns = ["id", "site", "company", "career"]
+    path = shared_dir(spark, "report")
+    csv_files.write_report_csv(undated(spark, folder).select(*columns), path)
+    back = csv_files.read_text_csv(spark, path, columns)
+    return back.withColumns({"id": F.col("id").try_cast("bigint"), "marked": csv_files.all_marked(spark, path)})
+
+
+@query
+def export_dry_run(spark, folder):
+    base = shared_dir(spark, "dry-run")
+    rows = lake.run_export(postings(spark, folder), f"{base}/lake", f"{base}/checkpoint", dry_run=True)
+    return rows.select("id", "site", I.time_text("date_scraped"))
+
+
 @query
 def restore_types(spark, folder):
     flag = "CASE {} WHEN '{}' THEN 'True' WHEN '{}' THEN 'False' WHEN '{}' THEN 'true' END"

@@ -24,6 +24,7 @@ CSV = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
 BOM = "\ufeff"
+ROWS_PER_FILE = 50_000
 
 
 def na_to_null(text: Column) -> Column:
@@ -33,8 +34,7 @@ def na_to_null(text: Column) -> Column:
 def read_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """All columns as strings; quoted values may span lines; NA words are null.
 
-    A file with multi-line values is read by one task, so keep such files small in
-    size and large in number, or keep Parquet between stages.
+    A file with multi-line values is read by one task; ``write_csv`` bounds the rows of a file.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = spark.read.schema(schema).options(multiLine=True, **CSV).csv(path)
@@ -60,8 +60,10 @@ def flags_as_words(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(F.col(c), "True").when(~F.col(c), "False") for c in flags})
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    flags_as_words(df).write.mode(mode).options(lineSep="\n", **CSV).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", rows_per_file: int = ROWS_PER_FILE) -> None:
+    """CSV files of at most ``rows_per_file`` rows: a file with multi-line values is read by one task."""
+    written = flags_as_words(df).write.mode(mode).option("maxRecordsPerFile", rows_per_file)
+    written.options(lineSep="\n", **CSV).csv(path)
 
 
 def write_report_csv(df: DataFrame, path: str, mode: str = "errorifexists", files: int | None = None) -> None:
@@ -75,3 +77,9 @@ def write_report_csv(df: DataFrame, path: str, mode: str = "errorifexists", file
     if files is not None:
         marked = marked.coalesce(files)
     marked.write.mode(mode).options(**CSV).csv(path)
+
+
+def all_marked(spark: SparkSession, path: str) -> Column:
+    """Whether every file below ``path`` begins with a byte-order mark; files are opened one per task at most."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    return files.agg(F.bool_and(F.hex(F.substring("content", 1, 3)) == "EFBBBF")).scalar()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from jobmill import schema as S
 from jobmill.functions.text import clean_description
-from jobmill.operators import audit, enrich, frontier, language, load, medians, nlp, pages, rank, skew, streaks
+from jobmill.operators import audit, enrich, features, frontier, language, load, medians, nlp, pages, rank, skew, streaks
 from jobmill.plans.inputs import moment
 from jobmill.sources import csv_files, lake
 from jobmill.sources.tables import postings, table
@@ -421,3 +421,33 @@ def test_sketched_medians_merge_days(spark, tmp_path):
     wrong = found.withColumn("median_number", F.col("median_number") + 200)
     assert not any(r.exact_rank_fits for r in medians.checked(df, "g", "v", wrong).collect())
     assert medians.medians(medians.sketches(df.limit(0), "g", "v", F.col("d"))).count() == 0
+
+
+def test_topics_find_planted_vocabularies(spark):
+    """Texts of two vocabularies without a common word: a topic's heaviest words come from one of them."""
+    df = spark.range(400).selectExpr(
+        "id", "transform(sequence(1, 12), i -> concat(if(id % 2 = 0, 'red', 'blue'), cast(pmod(xxhash64(id, i), 6) AS string))) AS tokens"
+    )
+    found = features.lda_topics(df, "tokens", topics=2, words=6, rounds=40).collect()
+    topics = {t: [r for r in found if r.topic == t] for t in (0, 1)}
+    assert sorted(len({r.term for r in rs}) for rs in topics.values()) == [6, 6]
+    assert {frozenset(r.term.rstrip("012345") for r in rs) for rs in topics.values()} == {frozenset({"red"}), frozenset({"blue"})}
+    for rs in topics.values():
+        weights = [r.weight for r in sorted(rs, key=lambda r: r["rank"])]
+        assert [r["rank"] for r in sorted(rs, key=lambda r: r["rank"])] == list(range(1, 7)) and weights == sorted(weights, reverse=True)
+
+
+def test_clusters_follow_direction_not_length(spark):
+    df = spark.range(300).selectExpr(
+        "id", "transform(sequence(0, 2), i -> (1.0D + id % 7) * (if(i = id % 3, 1.0D, 0.0D) + 0.01D * pmod(xxhash64(id, i), 5))) AS v"
+    )
+    got = features.cosine_clusters(df, "id", "v", k=3).collect()
+    assert len(got) == 300 and len({r.id for r in got}) == 300
+    assert len({(r.id % 3, r.cluster) for r in got}) == 3 and len({r.cluster for r in got}) == 3
+
+
+def test_csv_files_are_bounded(spark, tmp_path):
+    df = spark.range(1_000).coalesce(1).select(F.col("id").cast("string").alias("id"), F.lit("a\nb").alias("t"))
+    csv_files.write_csv(df, str(tmp_path / "c"), rows_per_file=300)
+    assert len(list(tmp_path.glob("c/*.csv"))) == 4
+    assert csv_files.read_text_csv(spark, str(tmp_path / "c"), ["id", "t"]).where("t = 'a\nb'").count() == 1_000
