@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmill.session import shared_dir
+from jobmill.session import shared_dir, small_batches
 
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows of one Arrow batch.
-BATCH_ROWS = 1000
 #: A key is hot above this share of the rows, so fewer than ``1 / HOT_SHARE`` keys are.
 HOT_SHARE = 1 / 2048
 #: No key with more rows than this is cold, however many rows there are.
@@ -42,18 +39,6 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Inside, texts go to Python workers in batches of ``BATCH_ROWS``: both sides hold less at a time."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def store(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the folder all executors share and read again: its lineage is cut."""
     spark = df.sparkSession
