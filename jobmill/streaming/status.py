@@ -1,12 +1,14 @@
 """Status of visited postings as a stateful stream: pending until the first visit, then new or orphaned.
 
 Drops may repeat and come out of order. The state of a link is the place of its earliest
-visit so far (16 bytes and a flag, no text), and a timer forgets it once the watermark is ``delay``
-past that visit; so the state is bounded by ``delay``, not by the links ever seen.
+visit so far (numbers and a flag, no text), and it is forgotten once the watermark is ``delay``
+past that visit; so the state is bounded by ``delay``, not by the links ever seen. Links are
+kept by hash in ``BUCKETS`` states, so a batch calls the function once per bucket and not per link.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,8 +23,12 @@ from jobmill.operators.enrich import apply_updates
 BATCH = "batch_id"
 VISIT = "job_url string, visited_at timestamp, no_text boolean, tie long, description string, salary_raw string"
 CHANGE = f"{VISIT}, status string"
-STATE = "visited_us long, no_text boolean, tie long"
+CHANGED = [field.split()[0] for field in CHANGE.split(", ")]
+#: A bucket's links as JSON: ``link: [visited_us, no_text, tie, ms of the watermark that forgets it]``.
+STATE = "links string"
 PLACE = ["visited_at", "no_text", "tie"]
+BUCKET = "bucket"
+BUCKETS = 4_096
 
 
 def visits(results: DataFrame) -> DataFrame:
@@ -43,32 +49,43 @@ def earliest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.sort_values(PLACE).drop_duplicates("job_url")
 
 
-def changes(results: DataFrame, delay: str) -> DataFrame:
+def changes(results: DataFrame, delay: str, buckets: int = BUCKETS) -> DataFrame:
     """A row whenever a visit earlier than all known ones of its link turns up, with the status it leads to.
 
-    Of visits at one time one with a description goes first, then the smallest hash.
+    Of visits at one time one with a description goes first, then the smallest hash. ``buckets``
+    stays the same for the life of a checkpoint.
     """
     late_ms = int(pd.Timedelta(delay) / pd.Timedelta("1ms"))
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        links = json.loads(state.get[0]) if state.exists else {}
+        watermark = state.getCurrentWatermarkMs()
+        best, seen = None, set()
+        for frame in () if state.hasTimedOut else frames:
+            head = frame if best is None else pd.concat([best, frame])
+            best = head.sort_values(PLACE).drop_duplicates("job_url")
+        if best is not None:
+            us = best["visited_at"].astype("datetime64[us]").astype("int64")
+            earlier = []
+            for link, *place in zip(best["job_url"], us.tolist(), best["no_text"].tolist(), best["tie"].tolist(), strict=True):
+                known = links.get(link)
+                earlier.append(known is None or place < known[:3])
+                first = place if earlier[-1] else known[:3]
+                links[link] = [*first, max(first[0] // 1000, watermark) + late_ms]
+                seen.add(link)
+            best = best[earlier]
+            if len(best):
+                yield best.assign(status=best["no_text"].map({True: S.ORPHANED, False: S.NEW}))[CHANGED]
+        links = {link: known for link, known in links.items() if link in seen or known[3] >= watermark}
+        if not links:
             state.remove()
             return
-        best = None
-        for frame in frames:
-            head = frame if best is None else pd.concat([best, frame])
-            best = head.sort_values(PLACE).head(1)
-        row = best.iloc[0]
-        place = (row["visited_at"].value // 1000, bool(row["no_text"]), int(row["tie"]))
-        known = tuple(state.get) if state.exists else None
-        if known is None or place < known:
-            state.update(place)
-            yield best.assign(status=S.ORPHANED if place[1] else S.NEW)
-        first_ms = state.get[0] // 1000
-        state.setTimeoutTimestamp(max(first_ms, state.getCurrentWatermarkMs()) + late_ms)
+        state.update((json.dumps(links),))
+        state.setTimeoutTimestamp(max(min(known[3] for known in links.values()), watermark))
 
     small = visits(results).mapInPandas(earliest, VISIT).withWatermark("visited_at", delay)
-    return small.groupBy("job_url").applyInPandasWithState(
+    placed = small.withColumn(BUCKET, F.pmod(F.xxhash64("job_url"), F.lit(buckets)))
+    return placed.groupBy(BUCKET).applyInPandasWithState(
         step, CHANGE, STATE, "update", GroupStateTimeout.EventTimeTimeout
     )
 

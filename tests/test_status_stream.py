@@ -62,3 +62,29 @@ def test_terms_win_in_their_configured_order(spark):
     assert [r["rank"] for r in both.orderBy("id").collect()] == [1, 3, 2, 2, 3]
     counts = load_counts(spark.createDataFrame([], "job_url string"), both, ["rank", "load_order", "id"], "load_source")
     assert {r.load_source: (r.inserted, r.skipped) for r in counts.collect()} == {"one": (1, 1), "two": (2, 1)}
+
+
+def test_links_that_share_a_state_keep_their_own_places(spark, tmp_path):
+    def at(minutes):
+        return START + timedelta(minutes=minutes)
+
+    drops = [
+        [("a", "late", None, at(50)), ("b", "one", None, at(0)), ("c", None, "$1", at(30))],
+        [("a", "early", None, at(40)), ("c", "two", None, at(45)), ("z", "far", None, at(500))],
+        [("a", "again", None, at(480)), ("d", "new", None, at(490))],
+    ]
+    base = str(tmp_path)
+    for i, drop in enumerate(drops):
+        spark.createDataFrame(drop, VISITS).write.parquet(f"{base}/in/drop={i}")
+        source = spark.readStream.schema(VISITS).parquet(f"{base}/in/drop=*")
+        rows = status.changes(source, "1 hour", buckets=1)
+        query = rows.writeStream.foreachBatch(
+            lambda batch, n: batch.write.mode("overwrite").parquet(f"{base}/log/{status.BATCH}={n}")
+        ).outputMode("update").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+    log = sorted((r.job_url, r.description or "", r.status) for r in spark.read.parquet(f"{base}/log").collect())
+    # The state of "a" was forgotten before its third visit, which is logged again.
+    assert log == [
+        ("a", "again", "NEW"), ("a", "early", "NEW"), ("a", "late", "NEW"), ("b", "one", "NEW"), ("c", "", "ORPHANED"),
+        ("d", "new", "NEW"), ("z", "far", "NEW"),
+    ]
