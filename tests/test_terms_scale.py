@@ -62,3 +62,12 @@ def test_profile_reads_capitals_and_odd_characters(spark):
             for at in range(len(word)):
                 wanted.setdefault(padded[at : at + 3], [0, 0, 0])[i] += 1
     assert got == {gram: tuple(n) for gram, n in wanted.items()}
+
+
+def test_an_open_model_still_scores_by_its_own_weights(spark):
+    words = {"xx": "alpha beta gamma delta epsilon", "yy": "uno dos tres cuatro cinco"}
+    rows = [(f"{words[code]} {words[code].split()[i % 5]} {i}", code) for code in words for i in range(60)]
+    df = spark.createDataFrame(rows, "t string, l string")
+    model = language.train_open(df, "t", "l")
+    found = df.select("l", model.language(F.col("t")).alias("got")).collect()
+    assert model.weights.shape == (language.BASE**3, 2) and sum(r.l == r.got for r in found) > 100
