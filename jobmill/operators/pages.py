@@ -8,7 +8,7 @@ page's own lists. Pages never meet: there is no shuffle.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobmill.functions.batches import MOST_BYTES, byte_sizes, runs
 from jobmill.functions.html import visible_text
 from jobmill.functions.postings import absolute_url, numbered_url
 from jobmill.functions.salary import first_amount, parse_salary
@@ -143,16 +144,18 @@ PAGE_SQL = (
 
 
 def read_page(html: Column) -> Column:
-    """``tags`` and ``texts`` of a page; none for a null page."""
+    """``tags`` and ``texts`` of a page; none for a null page. A worker lists ``MOST_BYTES`` of pages at a time."""
 
     @F.arrow_udf(PAGE_SQL)
-    def read(pages: pa.Array) -> pa.Array:
-        out = []
-        for source in pages:
-            page = TagReader(source.as_py() or "")
-            rows = [{**t, "attrs": list(t["attrs"].items())} for t in page.tags]
-            out.append({"tags": rows, "texts": page.texts})
-        return pa.array(out, PAGE)
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for pages in batches:
+            for start, n in runs(byte_sizes(pages), MOST_BYTES):
+                out = []
+                for source in pages.slice(start, n):
+                    page = TagReader(source.as_py() or "")
+                    rows = [{**t, "attrs": list(t["attrs"].items())} for t in page.tags]
+                    out.append({"tags": rows, "texts": page.texts})
+                yield pa.array(out, PAGE)
 
     return read(html)
 
